@@ -89,6 +89,22 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return out, np.array(gaps, np.int64)
 
 
+def place_again(lengths: np.ndarray, capacity: int, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``place``, longest first; then bins with more room than that are opened again and their
+    pieces placed anew, as long as that saves bins."""
+    at, gaps = place(lengths, capacity)
+    while True:
+        loose = gaps[at] > room
+        new, new_gaps = place(lengths[loose], capacity)
+        if len(new_gaps) >= int((gaps > room).sum()):
+            return at, gaps
+        kept = np.cumsum(gaps <= room) - 1
+        at = kept[at]
+        base = int((gaps <= room).sum())
+        at[loose] = base + new
+        gaps = np.concatenate([gaps[gaps <= room], new_gaps])
+
+
 def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, fan: int = FAN, id_col: str = "doc_id") -> DataFrame:
     """The pieces with sequence_id and offset. found: from ``pieces``; columns beyond its own come along
     only if ``ids`` is all that is added."""
@@ -102,7 +118,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, fan: in
         def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
             rows = rows.sort_by([("length", "descending"), ("deal", "ascending")])
             length = rows["length"].to_numpy()
-            at, gaps = place(length, capacity)
+            at, gaps = place_again(length, capacity, capacity // 64)
             order = np.argsort(at, kind="stable")
             ends = np.cumsum(length[order])
             firsts = np.r_[True, at[order][1:] != at[order][:-1]] if len(at) else np.zeros(0, bool)
