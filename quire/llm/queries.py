@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, gridjoin, packing, topk, warc
 from .common import table, tokenizer_path
+from .tiles import usable
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +17,50 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, tokenizer_path()).select("doc_id", bpe.token_count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"))).select(F.col("vec_id").alias("id"), topk.whole(F.col("embedding")).alias("vector"))
+    return topk.search(rows.where("id % 100 = 0"), rows)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_gridjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gridjoin.join(table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_topk": op3_topk,
+    "op4_warc": op4_warc,
+    "op8_gridjoin": op8_gridjoin,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+#: Whether all components of a vector are finite numbers, none of them null.
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+ORACLES: dict[str, str] = {
+    "op3_topk": f"""
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS w FROM embeddings WHERE {FINITE}),
+        s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.w, v.w)::BIGINT AS score
+              FROM v AS q, v WHERE q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id AND len(q.w) = len(v.w)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op8_gridjoin": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS w FROM embeddings
+                   WHERE {FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS v FROM v AS a, v AS b
+                 WHERE a.vec_id <> b.vec_id AND len(a.w) = len(b.w) AND list_cosine_similarity(a.w, b.w) >= 0.9),
+        reach AS (SELECT vec_id AS u, vec_id AS v FROM embeddings UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+        least AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u),
+        many AS (SELECT u, count(*) AS n FROM link GROUP BY u)
+        SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+        FROM embeddings e JOIN least ON e.vec_id = least.u LEFT JOIN many ON e.vec_id = many.u""",
+}
