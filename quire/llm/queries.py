@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, gridjoin, packing, topk, warc
+from . import bpe, gridjoin, packing, quality, topk, toxicity, warc
 from .common import table, tokenizer_path
 from .tiles import usable
 
@@ -27,6 +27,17 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.resample(documents, table(spark, sf_dir, "labels")).select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_gridjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gridjoin.join(table(spark, sf_dir, "embeddings"))
 
@@ -39,6 +50,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_topk": op3_topk,
     "op4_warc": op4_warc,
+    "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
     "op8_gridjoin": op8_gridjoin,
     "op9_packing": op9_packing,
 }
