@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, gridjoin, packing, quality, topk, toxicity, warc
+from . import bpe, gridjoin, minhash, packing, quality, topk, toxicity, warc
 from .common import table, tokenizer_path
 from .tiles import usable
 
@@ -46,6 +46,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = minhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_topk": op3_topk,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op8_gridjoin": op8_gridjoin,
     "op9_packing": op9_packing,
+    "op10_minhash": op10_minhash,
 }
 
 #: Whether all components of a vector are finite numbers, none of them null.
