@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, gridjoin, minhash, packing, quality, topk, toxicity, warc
+from . import bpe, chat, gridjoin, licenses, minhash, packing, quality, topk, toxicity, warc
 from .common import table, tokenizer_path
 from .tiles import usable
 
@@ -17,6 +17,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, tokenizer_path()).select("doc_id", bpe.token_count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", "lang", "doc_id").alias("path"), "text"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"))).select(F.col("vec_id").alias("id"), topk.whole(F.col("embedding")).alias("vector"))
     return topk.search(rows.where("id % 100 = 0"), rows)
@@ -38,6 +42,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", sample), (-1, 1, "assistant", sample)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    told = chat.format_records(chat.records_of(rows)).select("conv_id", "segments", chat.joined(F.col("segments")).alias("formatted"))
+    turns = chat.parse(F.col("formatted"))
+    loss = chat.unescape_each(F.col("segments"))
+    said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return told.select("conv_id", F.size(turns).cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 def op8_gridjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gridjoin.join(table(spark, sf_dir, "embeddings"))
 
@@ -53,10 +68,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_licenses": op2_licenses,
     "op3_topk": op3_topk,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
+    "op7_chat": op7_chat,
     "op8_gridjoin": op8_gridjoin,
     "op9_packing": op9_packing,
     "op10_minhash": op10_minhash,
@@ -72,6 +89,17 @@ ORACLES: dict[str, str] = {
               FROM v AS q, v WHERE q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id AND len(q.w) = len(v.w)),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op2_licenses": licenses.oracle(),
+    "op7_chat": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        e AS (SELECT *, regexp_replace(text, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|/?SYS>)', '\1\\\2\3', 'g') AS text2,
+              regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|/?SYS>)', '\1\\\2\3', 'g') AS role2 FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(length('<|im_start|>') + length(role2) + 1 + length(text2) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
     "op8_gridjoin": f"""
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS w FROM embeddings
                    WHERE {FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
