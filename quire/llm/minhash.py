@@ -9,12 +9,12 @@ their probability Jaccard similarity, whatever their lengths.
 Then:
 1. documents of equal words are one class, which goes on as one document (its smallest id);
 2. registers are cut into bands; classes with an equal band share a bucket;
-3. in each bucket, each class is paired with the smallest one, pairs are estimated by the registers and, unless
+3. in each bucket, each class is paired with the one that has most company in all its buckets, pairs are estimated by the registers and, unless
    the estimate rules them out by ``MARGIN`` standard deviations, verified by exact similarity of whole texts;
-4. the classes of a bucket that these links haven't joined yet are compared with each other in tiles of a
-   bounded size, by registers, and verified in the same way. So each pair that shares a bucket is either
-   joined already, ruled out by registers, or verified. Pairs of a large group are never all made: what
-   is joined after step 3 isn't compared again.
+4. in buckets whose classes these links haven't all joined, classes of different components are compared in
+   tiles of a bounded size, by registers and then exactly by whole texts; only links come out. So each pair
+   that shares a bucket is either joined already, ruled out by registers, or compared exactly, and pairs
+   of a large group are never made as rows;
 5. links and classes make the groups, as connected components.
 
 Bands leave out a pair of similarity 0.8 with a probability of 0.00005.
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import batches
+from .bpe import batches, spread
 from .common import discard, written
 from .components import components
 from .words import mix, word_hashes
@@ -43,7 +43,7 @@ SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 MARGIN = 5.0
-TILE, CHUNK = 1024, 64  # classes of a tile; documents verified against one at a time
+TILE, CHUNK = 1_000_000, 64  # characters of a tile; documents verified against one at a time
 
 
 def shingles(counts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,8 +119,8 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sign(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, words, bands, registers) of each row: a 128-bit hash of its words, null for a blank text; a hash
-    of each band; the low byte of each register."""
+    """(id, words, bands, registers, chars) of each row: a 128-bit hash of its words, null for a blank text; a
+    hash of each band; the low byte of each register; the text's length."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in parts:
@@ -139,10 +139,11 @@ def sign(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 low = (owner >> np.uint64(13)).astype(np.uint8)
                 equal = [key[i].tobytes() if has[i] else b"=" + t.encode() if (t := texts[i]) and t.strip() else None for i in range(n)]
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)), pa.array(band[has].ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(equal, pa.binary()), bands, pa.array([x.tobytes() for x in low], pa.binary())], ["id", "words", "bands", "registers"])
+                chars = np.fromiter((len(t or "") for t in texts), np.int64, n)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(equal, pa.binary()), bands, pa.array([x.tobytes() for x in low], pa.binary()), pa.array(chars)], ["id", "words", "bands", "registers", "chars"])
 
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    return rows.mapInArrow(run, "id bigint, words binary, bands array<bigint>, registers binary")
+    return rows.mapInArrow(run, "id bigint, words binary, bands array<bigint>, registers binary, chars bigint")
 
 
 def fingerprints(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -165,11 +166,34 @@ def floor_of(least: float) -> float:
     return least - MARGIN * float(np.sqrt(least * (1 - least) / REGISTERS))
 
 
+BITS = 1 << 26  # of the filter of ids: its size is bounded, and beyond it lets through more than it needs to
+
+
+def only(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose id may be among ids, so that a join with them moves few others."""
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(BITS))
+    maps = ids.select(F.bitmap_bucket_number(place).alias("at"), F.bitmap_bit_position(place).alias("bit")).groupBy("at").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    flags = np.zeros(BITS // 8 + (1 << 12), np.uint8)
+    for at, bits in maps.collect():  # at most BITS / 32768 rows of 4 KB
+        flags[(at - 1) * 4096 : at * 4096] = np.frombuffer(bits, np.uint8)
+    shared = documents.sparkSession.sparkContext.broadcast(flags)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts:
+            spot = b.column(2).to_numpy()
+            yield b.filter(pa.array(shared.value[spot >> 3] >> (spot & 7).astype(np.uint8) & 1 == 1)).select(["id", "text"])
+
+    spot = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    flat = (F.bitmap_bucket_number(spot) - 1) * 32768 + F.bitmap_bit_position(spot)
+    return documents.where("id is not null").select("id", "text", flat.alias("spot")).mapInArrow(run, "id bigint, text string")
+
+
 def verify(pairs: DataFrame, documents: DataFrame, least: float, tag: str) -> DataFrame:
     """Pairs (a, b) of different ids whose texts have at least that similarity. documents: (id, text).
 
     Each text goes to the pairs of the class a that it is in, in groups of at most ``CHUNK``, with a's text."""
     pairs = written(pairs.select("a", "b"), f"{tag}-pairs")
+    documents = only(documents, pairs.select("a").union(pairs.select("b")))
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     dealt = pairs.join(many, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")))
     members = dealt.select("a", "chunk", F.col("b").alias("id"))
@@ -192,15 +216,72 @@ def verify(pairs: DataFrame, documents: DataFrame, least: float, tag: str) -> Da
     return out
 
 
+def across(least: float):
+    """Links between rows of different components in a pair of tiles: for what isn't of the largest component,
+    each row that the registers allow is compared exactly; rows joined by a link found here count as one
+    component from then on."""
+    border = floor_of(least)
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        ids, component, mine = (rows[c].to_numpy() for c in ("rep", "component", "mine"))
+        component = component.copy()
+        low = np.frombuffer(b"".join(rows["registers"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        of, h, weight = shingles(*word_hashes(rows["text"].to_pylist())[:2])
+        edge = np.searchsorted(of, np.arange(len(ids) + 1))
+        _, code = np.unique(h, return_inverse=True)
+        share = weight / np.maximum(np.bincount(of, weights=weight, minlength=len(ids)), 1)[of]
+        even = np.maximum.reduceat(np.append(weight, 0), np.minimum(edge[:-1], len(weight))) <= 1
+        size = np.diff(edge)
+        mark = np.zeros(len(h) + 1)
+        names, times = np.unique(component, return_counts=True)
+        small = component != names[times.argmax()]
+        same_tile = key[1].as_py() == key[2].as_py()
+        one, two = [], []
+        for i in np.flatnonzero(small):
+            can = (component != component[i]) & (~small | (ids > ids[i]))
+            if not same_tile:
+                can &= mine != mine[i]
+            j = np.flatnonzero(can)
+            j = j[estimate(low[j], low[i]) >= border]
+            if not len(j):
+                continue
+            own = slice(edge[i], edge[i + 1])
+            mark[code[own]] = share[own]
+            at = spread(np.arange(len(h)), edge[j], size[j])
+            met = mark[code[at]]
+            mark[code[own]] = 0
+            owner = np.repeat(np.arange(len(j)), size[j])
+            common = np.bincount(owner[met > 0], minlength=len(j))
+            bound = np.bincount(owner, weights=np.minimum(met, share[at]), minlength=len(j))
+            exact = common / (size[i] + size[j] - common)
+            plain = even[j] & even[i]
+            close = plain & (exact >= least - 1e-12)
+            part = lambda k: (h[edge[k] : edge[k + 1]], weight[edge[k] : edge[k + 1]])
+            for k in np.flatnonzero(~plain & (bound >= least - 1e-9)):
+                close[k] = similarity(part(i), part(j[k])) >= least - 1e-12
+            _, first = np.unique(component[j[close]], return_index=True)
+            for k in j[close][first]:
+                one.append(int(ids[i]))
+                two.append(int(ids[k]))
+                component[component == component[k]] = component[i]
+        return pa.table({"u": pa.array(one, pa.int64()), "v": pa.array(two, pa.int64())})
+
+    return run
+
+
 def groups(df: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, class_id) of each row of df: the smallest id of its near-duplicate group."""
     signed = written(sign(df, id_col, text_col), "signed")
-    classes = signed.where("words is not null").groupBy("words").agg(F.min("id").alias("rep"), F.min(F.struct("id", "bands", "registers")).alias("x"))
-    classes = written(classes.select("words", "rep", "x.bands", "x.registers"), "classes")
+    classes = signed.where("words is not null").groupBy("words").agg(F.min("id").alias("rep"), F.min(F.struct("id", "bands", "registers", "chars")).alias("x"))
+    classes = written(classes.select("words", "rep", "x.bands", "x.registers", "x.chars"), "classes")
     texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = classes.select("rep", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(buckets.join(shared.select("bucket", "a", "n"), "bucket"), "members")
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowded = buckets.join(shared, "bucket")
+    # What many variants of one text share is mostly the text itself: it lies in the largest buckets.
+    central = crowded.groupBy("rep").agg(F.sum("n").alias("central"))
+    members = written(crowded.join(central, "rep"), "members")
+    heads = members.groupBy("bucket").agg(F.max(F.struct("central", (-F.col("rep")).alias("down"))).alias("x")).select("bucket", (-F.col("x.down")).alias("a"))
     low = classes.select(F.col("rep").alias("id"), "registers")
     border = floor_of(least)
 
@@ -209,35 +290,20 @@ def groups(df: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col
             x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(estimate(x, y) >= border))
 
-    stars = members.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    stars = members.join(heads, "bucket").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     stars = stars.join(low.toDF("a", "la"), "a").join(low.toDF("b", "lb"), "b").select("a", "b", "la", "lb").mapInArrow(compare, "a bigint, b bigint")
     links = verify(stars.distinct(), texts, least, "stars")
     joined = components(links)
-    # Buckets whose members aren't all joined.
-    known = members.join(joined.toDF("rep", "component"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
-    rest = known.join(mixed.select("bucket", F.ceil(F.col("n") / TILE).cast("bigint").alias("tiles")), "bucket").join(low.toDF("rep", "registers"), "rep")
-    rest = rest.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
-    rest = rest.select("bucket", "rep", "component", "registers", "mine", F.least("mine", "other").alias("ta"), F.greatest("mine", "other").alias("tb"))
-
-    def across(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        ids, component, mine = (rows[c].to_numpy() for c in ("rep", "component", "mine"))
-        low = np.frombuffer(b"".join(rows["registers"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        a = np.flatnonzero(mine == key[1].as_py())
-        b = np.flatnonzero(mine == key[2].as_py())
-        one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in a:
-            j = b[component[b] != component[i]]
-            if key[1] == key[2]:
-                j = j[ids[j] > ids[i]]
-            j = j[estimate(low[j], low[i]) >= border]
-            one.append(np.full(len(j), ids[i]))
-            two.append(ids[j])
-        one, two = np.concatenate(one), np.concatenate(two)
-        return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
-
-    more = rest.groupBy("bucket", "ta", "tb").applyInArrow(across, "a bigint, b bigint").distinct()
-    links2 = verify(more, texts, least, "rest")
+    # Buckets whose members aren't all joined: each with its rows' texts, in tiles.
+    size = classes.select("rep", "registers", "chars")
+    known = members.select("bucket", "rep").join(joined.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = known.join(size.select("rep", "chars"), "rep").groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.sum("chars") / TILE).cast("bigint").alias("tiles")).where("x <> y")
+    rest = written(known.join(mixed.select("bucket", "tiles"), "bucket"), "rest")
+    near = only(texts, rest.select("rep")).join(rest.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").withColumnRenamed("id", "rep")
+    tiles = rest.join(size.select("rep", "registers"), "rep").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
+    tiles = tiles.select("bucket", "rep", "component", "registers", "mine", F.least("mine", "other").alias("ta"), F.greatest("mine", "other").alias("tb")).join(near, "rep")
+    links2 = written(tiles.groupBy("bucket", "ta", "tb").applyInArrow(across(least), "u bigint, v bigint"), "rest-links")
+    discard(rest)
     joined = components(links.unionByName(links2)).toDF("rep", "component")
     told = written(classes.select("words", "rep").join(joined, "rep", "left").select("words", F.coalesce("component", "rep").alias("class_id")), "told")
     out = signed.select("id", "words").join(told, "words", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
