@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # Fixed values of version 1.
 FIELDS = ["done_schema", "job_id", "doc_id", "created_at", "source_pdf", "artifacts", "ocr_pipeline_version"]
-JOB_ID, SHA = r"\A[a-zA-Z0-9][a-zA-Z0-9._-]{1,127}\z", r"\A[0-9a-f]{64}\z"
+NAME = "[a-zA-Z0-9][a-zA-Z0-9._-]{1,127}"
+JOB_ID, SHA = rf"\A{NAME}\z", r"\A[0-9a-f]{64}\z"
 
 
 def unsafe(path: Column) -> Column:

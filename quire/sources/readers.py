@@ -46,7 +46,7 @@ def cached_pages(spark: SparkSession, folder: str, make: Callable[[], DataFrame]
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) with 1-based numbers. Each file is one task's, as its numbers need it whole."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("i", "line")).select("file", (F.col("i") + 1).alias("line_no"), "line")
 
 
@@ -81,7 +81,7 @@ def page_irs(spark: SparkSession, path: str) -> DataFrame:
 
 def manifests(spark: SparkSession, path: str) -> DataFrame:
     """(file, manifest, fields) with the text as it is, for checks of unknown fields."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.input_file_name().alias("file"), F.col("value").alias("manifest"), F.from_json("value", MANIFEST).alias("fields"))
 
 

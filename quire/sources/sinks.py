@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import shutil
 from collections.abc import Iterator
 from pathlib import Path
@@ -12,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.manifest import JOB_ID
+from ..operators.manifest import NAME
 
 
 def write_files(rows: DataFrame, folder: str, name: str = "name", content: str = "content") -> DataFrame:
@@ -88,9 +89,7 @@ def sha256(path: Path) -> str:
 
 def publish(doc_id: str, source: str, share: str, job_id: str, created_at: str, version: str, source_pdf: str | None = None) -> Path:
     """A staged folder as a job: copied aside, hashed twice, named by a manifest and moved in one step."""
-    import re
-
-    if not re.match(JOB_ID, job_id):
+    if not re.fullmatch(NAME, job_id):
         raise ValueError(f"bad job id {job_id}")
     final, aside = Path(share, "jobs", job_id), Path(share, "jobs", ".incoming", job_id)
     if final.exists():
