@@ -66,7 +66,7 @@ def axes_of(sample: list[list[float]]) -> dict[int, np.ndarray]:
     out = {}
     for dim in {len(x) for x in sample}:
         v = np.array([x for x in sample if len(x) == dim])
-        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        v = units(v)
         _, vectors = np.linalg.eigh(np.cov(v.T).reshape(dim, dim) if len(v) > 1 else np.eye(dim))
         out[dim] = vectors[:, ::-1][:, :AXES]
     return out

@@ -99,6 +99,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     ids = pairs.sparkSession.createDataFrame([(int(x),) for x in np.union1d(good, bad)], "id bigint")
     rated = pairs.join(F.broadcast(ids), "id", "left_semi").mapInArrow(rate, "id bigint, mean double, n bigint").where("n > 0").limit(4 * SAMPLE).collect()
+    if not rated:
+        return model
     x, y = np.array([r[1] for r in rated]), np.isin(np.array([r[0] for r in rated]), good)
     order = np.argsort(x, kind="stable")
     x, y = x[order], y[order]
