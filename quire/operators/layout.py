@@ -10,9 +10,61 @@ from ..functions.text import col
 
 # detectors' labels and the types they stand for; any other is "other".
 LABELS = {
-    "surya": "text text,sectionheader title,title title,listgroup list,list list,equation equation,formula formula,table table,figure figure,picture figure,caption text,footnote text,code text,diagram figure,bibliography text",
-    "doclayout": "formula formula,isolateformula formula,equation equation,inlineformula equation,title title,sectionheader title,table table,plaintext text,text text",
-    "mineru": "text text,plain_text text,paragraph_title title,doc_title title,title title,table table,inline_formula equation,display_formula formula,formula formula,equation equation,image figure,figure figure,picture figure,chart figure,diagram figure",
+    "surya": {
+        "text": "text",
+        "sectionheader": "title",
+        "title": "title",
+        "listgroup": "list",
+        "list": "list",
+        "equation": "equation",
+        "formula": "formula",
+        "table": "table",
+        "figure": "figure",
+        "picture": "figure",
+        "caption": "text",
+        "footnote": "text",
+        "pageheader": "other",
+        "pagefooter": "other",
+        "code": "text",
+        "form": "other",
+        "tableofcontents": "other",
+        "chemicalblock": "other",
+        "diagram": "figure",
+        "bibliography": "text",
+        "blankpage": "other",
+    },
+    "doclayout": {
+        "formula": "formula",
+        "isolateformula": "formula",
+        "equation": "equation",
+        "inlineformula": "equation",
+        "title": "title",
+        "sectionheader": "title",
+        "table": "table",
+        "plaintext": "text",
+        "text": "text",
+    },
+    "mineru": {
+        "text": "text",
+        "plain_text": "text",
+        "paragraph_title": "title",
+        "doc_title": "title",
+        "title": "title",
+        "table": "table",
+        "table_caption": "other",
+        "inline_formula": "equation",
+        "display_formula": "formula",
+        "formula": "formula",
+        "equation": "equation",
+        "image": "figure",
+        "figure": "figure",
+        "picture": "figure",
+        "chart": "figure",
+        "diagram": "figure",
+        "figure_caption": "other",
+        "image_caption": "other",
+        "chart_caption": "other",
+    },
 }
 ROUTES = {"formula": "math", "equation": "math", "text": "text", "title": "text", "list": "text", "table": "table", "figure": "figure"}
 
@@ -28,7 +80,7 @@ def block_type(label: Column | str, detector: str) -> Column:
     """The common type of a detector's label."""
     low = F.lower(F.coalesce(col(label), F.lit("")))
     key = F.replace(low, F.lit(" "), F.lit("_")) if detector == "mineru" else F.regexp_replace(low, "[^a-z]", "")
-    return lookup(key, dict(x.split(" ") for x in LABELS[detector].split(",")), "other")
+    return lookup(key, LABELS[detector], "other")
 
 
 def detections(found: DataFrame, detector: str, keys: list[str], index: str = "index") -> DataFrame:
