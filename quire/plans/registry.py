@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, latex, text
 from ..operators import dataset, layout, manifest, runs, segments, vectors
+from ..session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +18,7 @@ ORACLES: dict[str, str] = {}
 def query(sql: str | None = None) -> Callable:
     def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         QUERIES[f.__name__] = run

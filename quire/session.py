@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -11,3 +15,20 @@ def session(master: str = "local[8]", partitions: int = 8, **conf: str) -> Spark
     for key, value in {"spark.sql.adaptive.enabled": "true", "spark.sql.execution.arrow.pyspark.enabled": "true", **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """This package for the executors' Python, once an application, wherever the driver has it from."""
+    context = spark.sparkContext
+    home = Path(__file__).resolve().parent
+    if context.applicationId in _shipped or not home.is_dir():  # not a folder: it came here by this very way
+        return
+    _shipped.add(context.applicationId)
+    path = Path(tempfile.mkdtemp(), "quire.zip")  # served from here as long as the application runs
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(home.rglob("*.py")):
+            z.writestr(zipfile.ZipInfo(f"{home.name}/{f.relative_to(home).as_posix()}"), f.read_bytes())
+    context.addPyFile(str(path))
