@@ -8,10 +8,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +38,7 @@ def fresh_folder(spark: SparkSession, tag: str) -> str:
 def written(df: DataFrame, tag: str) -> DataFrame:
     """The rows of df, written to the shared folder and read back: lineage ends here, and a lost
     executor costs no more than the tasks it ran."""
+    ship(df.sparkSession)
     path = fresh_folder(df.sparkSession, tag)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
