@@ -90,6 +90,15 @@ ORACLES: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op2_licenses": licenses.oracle(),
+    "op4_warc": """
+        WITH h AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM h)
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+            array_to_string(list_transform(range(0, 32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (((((strpos('0123456789abcdef', substr(h, (5 * g) // 4 + 1, 1)) - 1) * 16 + strpos('0123456789abcdef', substr(h, (5 * g) // 4 + 2, 1)) - 1)
+                >> (3 - (5 * g) % 4)) & 31) + 1)::INT, 1)), '') AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM f""",
     "op7_chat": r"""
         WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
               UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
