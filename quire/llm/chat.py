@@ -64,16 +64,23 @@ LAYOUTS: list[tuple[tuple[str, ...], Callable[[Column], Column]]] = [
 NO_TURNS = "array<struct<role:string,text:string>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def canonical(record: Column) -> Column:
     """Turns of a JSON record by the mapping that its fingerprint selects."""
-    r = F.from_json(record, SCHEMA)
-    mark = fingerprint(paths(r))
-    out = F.array().cast(NO_TURNS)
-    for own, make in LAYOUTS:
-        for extra in ((), ("system",)):
-            made = make(r) if not extra else F.concat(F.array(turn("system", r["system"])), make(r))
-            out = F.when(mark == fingerprint(F.array(*map(F.lit, sorted((*own, *extra))))), made).otherwise(out)
-    return out
+
+    def chosen(r: Column, mark: Column) -> Column:
+        out = F.array().cast(NO_TURNS)
+        for own, make in LAYOUTS:
+            for extra in ((), ("system",)):
+                made = make(r) if not extra else F.concat(F.array(turn("system", r["system"])), make(r))
+                out = F.when(mark == fingerprint(F.array(*map(F.lit, sorted((*own, *extra))))), made).otherwise(out)
+        return out
+
+    return let(F.from_json(record, SCHEMA), lambda r: let(fingerprint(paths(r)), lambda mark: chosen(r, mark)))
 
 
 def escape(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, gridjoin, licenses, minhash, packing, quality, topk, toxicity, warc
@@ -46,11 +46,19 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", sample), (-1, 1, "assistant", sample)], "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    told = chat.format_records(chat.records_of(rows)).select("conv_id", "segments", chat.joined(F.col("segments")).alias("formatted"))
-    turns = chat.parse(F.col("formatted"))
-    loss = chat.unescape_each(F.col("segments"))
-    said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return told.select("conv_id", F.size(turns).cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+    told = chat.format_records(chat.records_of(rows))
+
+    def digest(pieces: Column) -> Column:
+        loss = chat.unescape_each(pieces)
+        return chat.let(chat.joined(pieces), lambda formatted: chat.let(chat.parse(formatted), lambda turns: chat.let(loss, lambda text: F.struct(
+            F.size(turns).cast("bigint").alias("n_turns"),
+            F.sha2(F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+            F.length(text).cast("bigint").alias("loss_chars"),
+            F.sha2(text, 256).alias("loss_sha256"),
+            F.length(formatted).cast("bigint").alias("formatted_chars"),
+        ))))
+
+    return told.select("conv_id", F.inline(F.array(chat.let(F.col("segments"), digest))))
 
 
 def op8_gridjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
