@@ -466,3 +466,126 @@ def error_rates(t):
 def page_text(t):
     d = t("documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise("").alias("tex_body"), F.when(F.col("doc_id") % 3 == 1, F.col("lang")).alias("txt"), F.col("source").alias("draft"))
     return d.select("doc_id", runs.page_text().alias("t"))
+
+
+# -- names, replies and sizes ------------------------------------------------------------------------------
+
+
+@query(r"SELECT page_id, coalesce(TRY_CAST(regexp_extract(string_split(url, '/')[-1], '(\d+)', 1) AS INT), 0) AS page FROM pages WHERE NOT contains(string_split(url, '/')[-1], '.')")
+def page_numbers(t):
+    plain = t("pages").where(~F.contains(F.substring_index("url", "/", -1), F.lit(".")))
+    return plain.select("page_id", layout.page_number("url").alias("page"))
+
+
+@query(r"SELECT page_id, coalesce(nullif(trim(regexp_replace(string_split(url, '/')[-1], '[^A-Za-z0-9_\-]+', '_', 'g'), '_'), ''), 'pdf') AS stem FROM pages WHERE NOT contains(string_split(url, '/')[-1], '.') AND regexp_full_match(url, '[\x00-\x7f]*')")
+def safe_stems(t):
+    plain = t("pages").where(~F.contains(F.substring_index("url", "/", -1), F.lit(".")) & F.col("url").rlike(r"\A[\x00-\x7f]*\z"))
+    return plain.select("page_id", text.safe_stem("url").alias("stem"))
+
+
+@query(r"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN trim(text, ' ' || chr(10)) WHEN 1 THEN trim(text, ' ' || chr(10)) ELSE '$$' || chr(10) || doc_id || chr(10) || '$$' END AS t FROM documents WHERE NOT contains(text, '`') AND NOT regexp_matches(text, '(?i)^\s*assistant')")
+def replies(t):
+    fence = F.concat(F.lit("```latex\n"), "text", F.lit("\n```"))
+    said = F.when(F.col("doc_id") % 3 == 0, text.clean_reply(fence)).when(F.col("doc_id") % 3 == 1, text.clean_reply(F.concat(F.lit("Assistant： "), "text"))).otherwise(text.display_math(F.concat(F.lit("$ "), F.col("doc_id").cast("string"), F.lit("$"))))
+    rows = t("documents").where(~F.contains("text", F.lit("`")) & ~F.col("text").rlike(r"(?i)^\s*assistant"))
+    return rows.select("doc_id", said.alias("t"))
+
+
+@query(r"SELECT doc_id, trim(text, ' ' || chr(10)) AS body FROM documents WHERE NOT contains(text, '\')")
+def document_bodies(t):
+    rows = t("documents").where(~F.contains("text", F.lit("\\")))
+    return rows.select("doc_id", text.document_body(text.wrap_document("text")).alias("body"))
+
+
+@query(r"""SELECT doc_id, sha256('% Auto OCR export: d' || doc_id || chr(10) || '\documentclass[12pt]{article}' || chr(10) || '\usepackage[utf8]{inputenc}' || chr(10) || '\usepackage{amsmath,amssymb}' || chr(10) || '\usepackage{geometry}' || chr(10) || '\geometry{margin=2.2cm}'
+    || chr(10) || '\begin{document}' || chr(10) || chr(10) || regexp_replace(regexp_replace(trim(text, ' ' || chr(10)), '([&%#_{}])', '\\\1', 'g'), '\n{3,}', chr(10) || chr(10), 'g') || chr(10) || chr(10) || '\end{document}' || chr(10)) AS tex_sha256 FROM documents WHERE NOT regexp_matches(text, '[\\~^$]')""")
+def latex_documents(t):
+    rows = t("documents").where(~F.col("text").rlike(r"[\\~^$]"))
+    return rows.select("doc_id", F.sha2(text.latex_document("text", F.lit("en"), F.concat(F.lit("d"), F.col("doc_id").cast("string"))), 256).alias("tex_sha256"))
+
+
+@query("SELECT p_partkey, (p_size * 28 * 2)::BIGINT AS budget FROM part")
+def int_products(t):
+    return t("part").select("p_partkey", text.int_product(F.concat(F.col("p_size").cast("string"), F.lit("*28 * 2")), 7).alias("budget"))
+
+
+@query("""WITH s AS (SELECT p_partkey, p_size * 40 AS w, (p_partkey % 50 + 1) * 30 AS h FROM part), d AS (SELECT *, sqrt(500000.0::DOUBLE / (w * h)) AS k FROM s),
+    m AS (SELECT p_partkey, CASE WHEN w * h > 500000 THEN greatest(1, floor(w * k)::INT) ELSE w END AS w, CASE WHEN w * h > 500000 THEN greatest(1, floor(h * k)::INT) ELSE h END AS h FROM d), u AS (SELECT *, sqrt(20000.0::DOUBLE / (w * h)) AS k FROM m)
+    SELECT p_partkey, (CASE WHEN w * h < 20000 THEN greatest(1, floor(w * k)::INT) ELSE w END)::INT AS width, (CASE WHEN w * h < 20000 THEN greatest(1, floor(h * k)::INT) ELSE h END)::INT AS height FROM u""")
+def pixel_budgets(t):
+    size = geometry.pixel_budget(F.col("p_size") * 40, (F.col("p_partkey") % 50 + 1) * 30, 500000, 20000)
+    return t("part").select("p_partkey", size.alias("s")).select("p_partkey", "s.*")
+
+
+@query(f"""WITH b AS (SELECT {BOX} FROM lineitem), c AS (SELECT id, trunc(greatest(0, least(x1, 299)))::INT AS x1, trunc(greatest(0, least(y1, 399)))::INT AS y1, trunc(greatest(1, least(x2, 300)))::INT AS x2, trunc(greatest(1, least(y2, 400)))::INT AS y2 FROM b)
+    SELECT id, greatest(0, x1 - 2) AS x1, greatest(0, y1 - 2) AS y1, least(300, greatest(x2, x1 + 1) + 2) AS x2, least(400, greatest(y2, y1 + 1) + 2) AS y2 FROM c""")
+def crop_boxes(t):
+    b = geometry.crop_box(geometry.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]), F.lit(300), F.lit(400))
+    return boxes(t).select("id", b.alias("b")).select("id", "b.*")
+
+
+@query("""SELECT p_partkey, 'v' || i AS version_id, CASE WHEN i = 0 THEN 0.0 ELSE round(s, 6) END AS x1, CASE WHEN i = 0 THEN round(s, 6) ELSE 1.0 END AS x2
+    FROM (SELECT p_partkey, greatest(0.25, least(0.75, p_size / 50.0)) AS s FROM part), (VALUES (0), (1)) v(i)""")
+def panel_boxes(t):
+    made = geometry.panel_boxes(F.lit("2_lr"), F.lit(0.0), F.col("p_size") / 50)
+    return t("part").select("p_partkey", F.explode(made).alias("p")).select("p_partkey", "p.version_id", F.round("p.box.x1", 6).alias("x1"), F.round("p.box.x2", 6).alias("x2"))
+
+
+@query("""SELECT l_partkey AS page, l_orderkey AS src, printf('p%03d_b%03d', l_partkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 10 + l_linenumber) - 1) AS block_id FROM lineitem WHERE l_linenumber <> 3""")
+def detections(t):
+    rows = t("lineitem").select(F.col("l_partkey").alias("page"), F.col("l_orderkey").alias("src"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("index"), F.lit("text").alias("label"), F.when(F.col("l_linenumber") == 3, F.array(F.lit(0.0))).otherwise(F.array(*[F.lit(0.0)] * 4)).alias("bbox"))
+    return layout.detections(rows, "mineru", ["page"]).select("page", "src", "block_id")
+
+
+@query("SELECT p_partkey AS page, 'b000' AS block_id, p_size::DOUBLE AS x2 FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 7)")
+def whole_page_blocks(t):
+    pages = t("part").select(F.col("p_partkey").alias("page"), F.col("p_size").alias("width"), F.lit(10).alias("height"))
+    found = t("lineitem").where("l_linenumber = 7").select(F.col("l_partkey").alias("page"))
+    return layout.whole_page_blocks(pages, found, ["page"]).select("page", "block_id", F.col("bbox.x2").alias("x2"))
+
+
+@query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/new/' || page_id || '.png' ELSE '/old/' || page_id || '.png' END AS image_path FROM pages")
+def match_images(t):
+    name = F.concat(F.col("page_id").cast("string"), F.lit(".png"))
+    pages = t("pages").select("page_id", F.concat(F.lit("/old/"), name).alias("image_path"))
+    return layout.match_images(pages, t("pages").where("page_id % 2 = 0").select(F.concat(F.lit("/new/"), name).alias("path"))).select("page_id", "image_path")
+
+
+@query(f"""WITH b AS (SELECT {BOX} FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY id % 2, id) - 1 AS o, row_number() OVER (PARTITION BY page, id % 2 ORDER BY id) - 1 AS i FROM b)
+    SELECT page, id, o::INT AS "order", printf('p%03d_v%d_b%03d', page, id % 2, i) AS block_id FROM n""")
+def merge_panels(t):
+    rows = boxes(t).withColumn("order", F.col("id")).withColumn("version_id", F.concat(F.lit("v"), (F.col("id") % 2).cast("string"))).withColumn("bbox", geometry.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
+    panel = F.get(geometry.panel_boxes(F.lit("2_lr"), F.lit(0.0), F.lit(0.5)), (F.col("id") % 2).cast("int"))["box"]
+    rows = rows.withColumn("panel", panel).withColumn("page_width", F.lit(800.0)).withColumn("page_height", F.lit(600.0))
+    return layout.merge_panels(rows, ["page"]).select("page", "id", F.col("order").cast("int").alias("order"), "block_id")
+
+
+@query("SELECT vec_id AS pos, label, vec_id % 7 AS v FROM embeddings")
+def zip_vectors(t):
+    e = t("embeddings")
+    return vectors.zip_vectors(e.select(F.col("vec_id").alias("pos"), "label"), e.select(F.col("vec_id").alias("pos"), (F.col("vec_id") % 7).alias("v")))
+
+
+@query("SELECT vec_id AS id, label FROM embeddings WHERE vec_id % 20 NOT IN (SELECT vec_id % 20 FROM embeddings WHERE label = 3 AND vec_id % 9 = 0)")
+def vector_delete(t):
+    table, _ = point_table(t)
+    gone = t("embeddings").where("label = 3 and vec_id % 9 = 0").select((F.col("vec_id") % 20).alias("doc_id"))
+    return vectors.delete_documents(table, gone).select("id", "label")
+
+
+@query("""WITH g AS (SELECT source, string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs, count(*) AS n FROM documents GROUP BY 1) SELECT source, langs, n FROM g""")
+def language_sets(t):
+    found = runs.distinct_warnings(t("documents").select("source", F.lit(1).alias("seq"), F.col("lang").alias("message")), ["source"])
+    counts = t("documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return found.join(counts, "source").select("source", F.array_join("warnings", ",").alias("langs"), "n")
+
+
+@query()
+def polish_chunks(t):
+    return segments.polish(drafts(t), ["doc_id"], str.upper)
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text || chr(10) || '% TODO: verify unpaired dollar' || chr(10) ELSE text END AS t FROM (SELECT doc_id, replace(rtrim(text, ' ' || chr(10)), '$', '') || CASE WHEN doc_id % 2 = 0 THEN ' $5' ELSE ' $5$' END AS text FROM documents)")
+def unpaired_dollars(t):
+    d = F.concat(F.replace(text.rstrip("text"), F.lit("$"), F.lit("")), F.when(F.col("doc_id") % 2 == 0, " $5").otherwise(" $5$"))
+    return t("documents").select("doc_id", text.mark_unpaired_dollars(d).alias("t"))
