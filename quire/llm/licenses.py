@@ -89,6 +89,24 @@ def anchors(least: float = LEAST) -> list[str]:
     return sorted(out)
 
 
+def may_reach(terms: Column, least: float) -> Column:
+    """Whether a unit's cosine with any template can reach least: no more than the share of its length that lies
+    in the templates' terms, where each other word counts at least once. Computed within the row, so that few
+    units have their words moved."""
+    table, unseen = weights()
+    idf = {t: f for _, _, t, _, f in table}
+    own = F.create_map(*[F.lit(x) for kv in sorted(idf.items()) for x in kv])
+    known = F.array_intersect(terms, F.array(*[F.lit(t) for t in sorted(idf)]))
+
+    def bound(inside: Column) -> Column:
+        part = lambda t: F.size(F.filter(terms, lambda x: x == t)) * F.try_element_at(own, t)
+        length = F.aggregate(inside, F.lit(0.0), lambda s, t: s + part(t) * part(t))
+        others = F.size(F.array_distinct(terms)) - F.size(inside)
+        return length >= F.lit(least * least - 1e-6) * (length + F.lit(unseen * unseen) * others)
+
+    return F.get(F.transform(F.array(known), bound), F.lit(0))
+
+
 def units(text: Column) -> Column:
     parts = [F.split(text, p) for p in UNITS]
     return F.array_distinct(F.concat(*parts))
@@ -102,7 +120,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col
     any_anchor = r"(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(a) for a in anchors(least)) + r")(?![\p{L}\p{N}])"
     likely = files.where(F.col("text").rlike(any_anchor))
     spots = likely.select("id", "path", "text", F.explode(units(F.col("text"))).alias("unit")).where(F.col("unit").rlike(any_anchor))
-    spots = spots.select("id", "path", (F.trim("unit") == F.trim("text")).alias("whole"), F.xxhash64("unit").alias("unit"), F.explode(F.regexp_extract_all("unit", F.lit(TERM), F.lit(0))).alias("term"))
+    spots = spots.select("id", "path", (F.trim("unit") == F.trim("text")).alias("whole"), F.xxhash64("unit").alias("unit"), F.regexp_extract_all("unit", F.lit(TERM), F.lit(0)).alias("terms"))
+    spots = spots.where(may_reach(F.col("terms"), least)).withColumn("term", F.explode("terms")).drop("terms")
     counted = spots.groupBy("id", "path", "unit", "whole", "term").agg(F.count(F.lit(1)).alias("n"))
     # Some hundreds of fixed rows.
     known = F.broadcast(spark.createDataFrame([r[2:3] + r[4:] for r in {(0, "", t, 0, f) for _, _, t, _, f in table}], "term string, idf double"))
