@@ -2,8 +2,8 @@
 
 Texts are cut into units: sentences, lines, and paragraphs between blank lines. A unit's TF-IDF vector is
 compared by cosine with those of license templates; its best template of at least ``LEAST`` is its license, and
-a file's is that of its best unit. Inverse document frequencies are the templates', but for some common words
-with a small fixed one; any other word counts as one that no template has. Vectors are kept sparse, as rows of (unit, term).
+a file's is that of its best unit. Inverse document frequencies are the templates'; any other word counts as one
+that no template has. Vectors are kept sparse, as rows of (unit, term).
 
 Only units that have an anchor are scored. Anchors are the heaviest terms of the templates, as many of each
 as it takes that no unit without an anchor can reach ``LEAST``; so nothing is lost.
@@ -27,7 +27,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAST = 0.75
+LEAST = 0.65
 
 # Names and wording of public licences and their notices.
 TEMPLATES = [
@@ -58,9 +58,8 @@ TERM_PY = r"[^\W_]+(?:[.-][^\W_]+)*"
 UNITS = (r"(?<=[.!?;:])\s+|\n", r"\n", r"\n\s*\n")
 
 
-#: Words of any text, which say as little as they would by their frequency in any large corpus.
+#: Words of any text: the last to become anchors, since most texts have them. They don't change any score.
 COMMON = set("a and any are as be by copy file files for form free in into is it may met not of on or person that the this to under use v with without work".split())
-COMMON_IDF = 0.5
 
 
 def weights() -> tuple[list[tuple[int, str, str, float]], float]:
@@ -69,7 +68,7 @@ def weights() -> tuple[list[tuple[int, str, str, float]], float]:
     terms = [Counter(re.findall(TERM_PY, text.lower())) for _, text in TEMPLATES]
     n = len(terms)
     spread = Counter(t for c in terms for t in c)
-    idf = {t: COMMON_IDF if t in COMMON else math.log((1 + n) / (1 + k)) + 1 for t, k in spread.items()}
+    idf = {t: math.log((1 + n) / (1 + k)) + 1 for t, k in spread.items()}
     out = []
     for i, c in enumerate(terms):
         norm = math.sqrt(sum((k * idf[t]) ** 2 for t, k in c.items()))

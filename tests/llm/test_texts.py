@@ -168,6 +168,19 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+NOTICES = [
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+]
+
+
+def test_license_notices(spark):
+    """Notices as they are published, with all that stands behind the templates' words."""
+    rows = [(i, None, text) for i, (_, text) in enumerate(NOTICES)]
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(NOTICES)}
+
+
 def test_anchors_lose_nothing():
     table, unseen = licenses.weights()
     idf, names = {t: f for _, _, t, _, f in table}, set(licenses.anchors())
