@@ -12,6 +12,8 @@ A licence file is one named like one, or one whose whole text is near a template
 their own inherit from the nearest directory above that holds a licence file: each distinct directory is
 joined with its ancestors' licences once, files then with their directory.
 
+A file with the opening of the BSD licences has the 3-clause one if it has its third clause too.
+
 Defined cases: null and empty texts have no license of their own; a null path is in no directory; of equal
 scores the name that sorts first wins, of several licence files of a directory that of the highest score, then
 of the smallest path; repeated rows and ids come back as they are, rows with equal ids and paths sharing
@@ -31,27 +33,56 @@ LEAST = 0.65
 
 # Names and wording of public licences and their notices.
 TEMPLATES = [
+    ("AGPL-3.0", "GNU Affero General Public License, version 3, 19 November 2007"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("GPL-2.0", "GNU General Public License, version 2, June 1991"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU General Public License, version 3, 29 June 2007"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "GNU Lesser General Public License, version 2.1, February 1999"),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3, 29 June 2007"),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 ]
+#: Licences whose notice begins with the other's: a file with templates of both has the longer one.
+LONGER = {"BSD-2-Clause": "BSD-3-Clause"}
 LICENCE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|copyright)([.-][^/]*)?$"
 TERM = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 TERM_PY = r"[^\W_]+(?:[.-][^\W_]+)*"
@@ -131,7 +162,10 @@ def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col
     dots = norms.select("id", "path", "unit", "whole", "norm", F.explode("terms").alias("x")).select("id", "path", "unit", "whole", "norm", "x.term", "x.value").join(templates, "term")
     scored = dots.groupBy("id", "path", "unit", "whole", "norm", "template", "license").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
     scored = scored.select("id", "path", "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= least)
-    own = scored.groupBy("id", "path").agg(F.min(F.struct((-F.col("score")).alias("down"), "license")).alias("x"), F.max("whole").alias("whole"))
+    best = F.struct((-F.col("score")).alias("down"), "license")
+    own = scored.groupBy("id", "path").agg(F.min(best).alias("x"), *[F.min(F.when(F.col("license") == n, best)).alias(n) for n in LONGER.values()], F.max("whole").alias("whole"))
+    for short, long in LONGER.items():
+        own = own.withColumn("x", F.when(F.col("x.license") == short, F.coalesce(F.col(f"`{long}`"), "x")).otherwise(F.col("x")))
     own = own.select("id", "path", F.col("x.license").alias("license"), (-F.col("x.down")).alias("score"), "whole")
     # Directories: of licence files, then of all files, each of these with all its ancestors.
     folder = F.regexp_replace("path", r"/?[^/]*$", "")
