@@ -8,6 +8,11 @@ that no template has. Vectors are kept sparse, as rows of (unit, term).
 Only units that have an anchor are scored. Anchors are the heaviest terms of the templates, as many of each
 as it takes that no unit without an anchor can reach ``LEAST``; so nothing is lost.
 
+Beside that, a whole text is compared with the whole texts in ``licence_texts``, with weights of their own; from
+``WHOLE_LEAST`` on this is a match like a unit's. The bound is high, since legal texts share most of their words: other
+licences come to 0.88 with one another, and the GNU GPLs, of which the nearer one wins, to 0.92. The SQL leaves
+this match out; the tests hold it against a plain version.
+
 A licence file is one named like one, or one whose whole text is near a template. Files without a license of
 their own inherit from the nearest directory above that holds a licence file: each distinct directory is
 joined with its ancestors' licences once, files then with their directory.
@@ -25,11 +30,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
+from functools import lru_cache, reduce
+from operator import or_
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAST = 0.65
+LEAST, WHOLE_LEAST = 0.65, 0.9
 
 # Names and wording of public licences and their notices.
 TEMPLATES = [
@@ -90,35 +99,54 @@ UNITS = (r"(?<=[.!?;:])\s+|\n", r"\n", r"\n\s*\n")
 
 
 #: Words of any text: the last to become anchors, since most texts have them. They don't change any score.
-COMMON = set("a and any are as be by copy file files for form free in into is it may met not of on or person that the this to under use v with without work".split())
+COMMON = set("a and any are as be by copy file files for form free in into is it may met not of on or person that the this to under use v with without work all if list mean must such we you your".split())
+
 
+Weights = tuple[list[tuple[int, str, str, float, float]], float]
 
-def weights() -> tuple[list[tuple[int, str, str, float]], float]:
-    """(template, license, term, weight) with each template's weights of length one, and the inverse document
-    frequency of a word in no template."""
-    terms = [Counter(re.findall(TERM_PY, text.lower())) for _, text in TEMPLATES]
+
+def weights_of(templates: list[tuple[str, str]]) -> Weights:
+    """(template, license, term, weight, inverse document frequency) with each template's weights of length one, and
+    the inverse document frequency of a word in no template."""
+    terms = [Counter(re.findall(TERM_PY, text.lower())) for _, text in templates]
     n = len(terms)
     spread = Counter(t for c in terms for t in c)
     idf = {t: math.log((1 + n) / (1 + k)) + 1 for t, k in spread.items()}
     out = []
     for i, c in enumerate(terms):
         norm = math.sqrt(sum((k * idf[t]) ** 2 for t, k in c.items()))
-        out += [(i, TEMPLATES[i][0], t, k * idf[t] / norm, idf[t]) for t, k in sorted(c.items())]
+        out += [(i, templates[i][0], t, k * idf[t] / norm, idf[t]) for t, k in sorted(c.items())]
     return out, math.log(1 + n) + 1
 
 
-def anchors(least: float = LEAST) -> list[str]:
+def weights() -> Weights:
+    return weights_of(TEMPLATES)
+
+
+@lru_cache(1)
+def whole_weights() -> Weights:
+    """The same of whole licences."""
+    return weights_of([(f.stem, f.read_text("utf-8")) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))])
+
+
+def anchors(least: float = LEAST, of: Callable[[], Weights] = weights, rare: bool = True) -> list[str]:
     """Terms such that a unit without any of them has a cosine below least with each template: the weights left
-    have a length below it. The rarer words of a template come first."""
-    table, _ = weights()
+    have a length below it. The rarer words of a template come first, or else the heaviest."""
+    templates: dict[int, list] = {}
+    for i, _, t, w, _ in of()[0]:
+        templates.setdefault(i, []).append((not rare or t not in COMMON, w, t))
     out: set[str] = set()
-    for i in range(len(TEMPLATES)):
-        mine = [x[1:] for x in sorted(((t not in COMMON, w, t) for j, _, t, w, _ in table if j == i), reverse=True)]
-        while math.sqrt(sum(w * w for w, t in mine if t not in out)) >= least - 1e-9:
-            out.add(next(t for _, t in mine if t not in out))
+    for mine in templates.values():
+        mine.sort(reverse=True)
+        while math.sqrt(sum(w * w for _, w, t in mine if t not in out)) >= least - 1e-9:
+            out.add(next(t for _, _, t in mine if t not in out))
     return sorted(out)
 
 
+def any_of(words: list[str]) -> str:
+    return r"(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, words)) + r")(?![\p{L}\p{N}])"
+
+
 def may_reach(terms: Column, least: float) -> Column:
     """Whether a unit's cosine with any template can reach least: no more than the share of its length that lies
     in the templates' terms, where each other word counts at least once. Computed within the row, so that few
@@ -137,6 +165,40 @@ def may_reach(terms: Column, least: float) -> Column:
     return F.get(F.transform(F.array(known), bound), F.lit(0))
 
 
+def shares(of: Callable[[], Weights]) -> list[list[tuple[list[str], float]]]:
+    """For each template its terms in classes of like weight, each with its largest squared weight: a unit's cosine
+    is no more than the root of the sum of the squared weights of the terms that it has."""
+    templates: dict[int, dict[int, list]] = {}
+    for i, _, t, w, _ in of()[0]:
+        templates.setdefault(i, {}).setdefault(math.floor(-2 * math.log(w) / math.log(1.5)), []).append((w * w, t))
+    return [[(sorted(t for _, t in c), max(c)[0]) for _, c in sorted(x.items())] for x in templates.values()]
+
+
+def has_share(terms: Column, least: float, of: Callable[[], Weights]) -> Column:
+    """Whether a unit has terms enough of some template to reach least."""
+    known = F.array_intersect(terms, F.array(*[F.lit(t) for t in sorted({t for _, _, t, _, _ in of()[0]})]))
+    size = lambda x, names: F.size(F.array_intersect(x, F.array(*map(F.lit, names))))
+    most = lambda x, classes: reduce(lambda p, q: p + q, [size(x, names) * F.lit(w) for names, w in classes])
+    enough = lambda x: F.exists(F.array(*[most(x, c) for c in shares(of)]), lambda y: y >= least * least - 1e-6)
+    return F.get(F.transform(F.array(known), enough), F.lit(0))
+
+
+def scores(spots: DataFrame, least: float, of: Callable[[], Weights]) -> DataFrame:
+    """(id, path, whole, license, score) of units, for each template that they are near."""
+    spark = spots.sparkSession
+    table, unseen = of()
+    counted = spots.withColumn("term", F.explode("terms")).groupBy("id", "path", "unit", "whole", "term").agg(F.count(F.lit(1)).alias("n"))
+    # Some thousands of fixed rows at most.
+    known = F.broadcast(spark.createDataFrame([r[2:3] + r[4:] for r in {(0, "", t, 0, f) for _, _, t, _, f in table}], "term string, idf double"))
+    templates = F.broadcast(spark.createDataFrame([(i, name, t, w) for i, name, t, w, _ in table], "template int, license string, term string, weight double"))
+    # A unit that repeats in a file counts its words again, in the same proportion.
+    valued = counted.join(known, "term", "left").withColumn("value", F.col("n") * F.coalesce("idf", F.lit(unseen)))
+    norms = valued.groupBy("id", "path", "unit", "whole").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "value"))).alias("terms"))
+    dots = norms.select("id", "path", "unit", "whole", "norm", F.explode("terms").alias("x")).select("id", "path", "unit", "whole", "norm", "x.term", "x.value").join(templates, "term")
+    scored = dots.groupBy("id", "path", "unit", "whole", "norm", "template", "license").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
+    return scored.select("id", "path", "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= least)
+
+
 def units(text: Column) -> Column:
     parts = [F.split(text, p) for p in UNITS]
     return F.array_distinct(F.concat(*parts))
@@ -144,26 +206,19 @@ def units(text: Column) -> Column:
 
 def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """(id, path, license, score, origin, inherited_from): origin is own, inherited or null."""
-    spark = df.sparkSession
     files = df.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"), F.lower(F.col(text_col).cast("string")).alias("text"))
-    table, unseen = weights()
-    any_anchor = r"(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(a) for a in anchors(least)) + r")(?![\p{L}\p{N}])"
+    any_anchor = any_of(anchors(least))
     likely = files.where(F.col("text").rlike(any_anchor))
     spots = likely.select("id", "path", "text", F.explode(units(F.col("text"))).alias("unit")).where(F.col("unit").rlike(any_anchor))
     spots = spots.select("id", "path", (F.trim("unit") == F.trim("text")).alias("whole"), F.xxhash64("unit").alias("unit"), F.regexp_extract_all("unit", F.lit(TERM), F.lit(0)).alias("terms"))
-    spots = spots.where(may_reach(F.col("terms"), least)).withColumn("term", F.explode("terms")).drop("terms")
-    counted = spots.groupBy("id", "path", "unit", "whole", "term").agg(F.count(F.lit(1)).alias("n"))
-    # Some hundreds of fixed rows.
-    known = F.broadcast(spark.createDataFrame([r[2:3] + r[4:] for r in {(0, "", t, 0, f) for _, _, t, _, f in table}], "term string, idf double"))
-    templates = F.broadcast(spark.createDataFrame([(i, name, t, w) for i, name, t, w, _ in table], "template int, license string, term string, weight double"))
-    # A unit that repeats in a file counts its words again, in the same proportion.
-    valued = counted.join(known, "term", "left").withColumn("value", F.col("n") * F.coalesce("idf", F.lit(unseen)))
-    norms = valued.groupBy("id", "path", "unit", "whole").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "value"))).alias("terms"))
-    dots = norms.select("id", "path", "unit", "whole", "norm", F.explode("terms").alias("x")).select("id", "path", "unit", "whole", "norm", "x.term", "x.value").join(templates, "term")
-    scored = dots.groupBy("id", "path", "unit", "whole", "norm", "template", "license").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
-    scored = scored.select("id", "path", "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= least)
+    spots = spots.where(may_reach(F.col("terms"), least))
+    # Whole texts near whole licences.
+    entire = files.where(reduce(or_, [F.contains("text", F.lit(a)) for a in anchors(WHOLE_LEAST, whole_weights, rare=False)]))
+    entire = entire.select("id", "path", F.lit(True).alias("whole"), F.xxhash64("text").alias("unit"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("terms"))
+    entire = entire.where(has_share(F.col("terms"), WHOLE_LEAST, whole_weights))
+    scored = scores(spots, least, weights).withColumn("part", F.lit(True)).unionByName(scores(entire, WHOLE_LEAST, whole_weights).withColumn("part", F.lit(False)))
     best = F.struct((-F.col("score")).alias("down"), "license")
-    own = scored.groupBy("id", "path").agg(F.min(best).alias("x"), *[F.min(F.when(F.col("license") == n, best)).alias(n) for n in LONGER.values()], F.max("whole").alias("whole"))
+    own = scored.groupBy("id", "path").agg(F.min(best).alias("x"), *[F.min(F.when(F.col("part") & (F.col("license") == n), best)).alias(n) for n in LONGER.values()], F.max("whole").alias("whole"))
     for short, long in LONGER.items():
         own = own.withColumn("x", F.when(F.col("x.license") == short, F.coalesce(F.col(f"`{long}`"), "x")).otherwise(F.col("x")))
     own = own.select("id", "path", F.col("x.license").alias("license"), (-F.col("x.down")).alias("score"), "whole")

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -190,6 +191,28 @@ def test_license_notices(spark):
     assert got == {i: name for i, (name, _) in enumerate(NOTICES)}
 
 
+def test_whole_licenses(spark):
+    """Licence files of several paragraphs are recognised by their text alone, and their directories inherit."""
+    files = {f.stem: f.read_text() for f in sorted((Path(licenses.__file__).parent / "licence_texts").glob("*.txt"))}
+    rows = [row for name, text in files.items() for row in ((name, f"{name}/1", text.replace("year", "2024").replace("name", "A. Person", 1)), (f"{name} file", f"{name}/sub/2", "nothing of note"))]
+    rows.append(("prose", "prose/1", "the work of a person that may be free, and the terms of the work, " * 50))
+    rows.append(("prose file", "prose/2", "nothing of note"))
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, path string, text string")).collect()}
+    want = {name: (name, "own") for name in files} | {f"{name} file": (name, "inherited") for name in files} | {"prose": (None, None), "prose file": (None, None)}
+    assert got == want
+
+
+def test_shares_lose_nothing():
+    """Classes of weights bound each template's own weights, and texts without anchors can't reach the bound."""
+    table, _ = licenses.whole_weights()
+    names = licenses.anchors(licenses.WHOLE_LEAST, licenses.whole_weights, rare=False)
+    for i, classes in enumerate(licenses.shares(licenses.whole_weights)):
+        mine = {t: w for j, _, t, w, _ in table if j == i}
+        assert {t: True for c, _ in classes for t in c} == {t: True for t in mine}
+        assert all(mine[t] ** 2 <= most for c, most in classes for t in c)
+        assert sum(w * w for t, w in mine.items() if t not in names) ** 0.5 < licenses.WHOLE_LEAST
+
+
 def test_anchors_lose_nothing():
     table, unseen = licenses.weights()
     idf, names = {t: f for _, _, t, _, f in table}, set(licenses.anchors())
