@@ -143,8 +143,8 @@ def anchors(least: float = LEAST, of: Callable[[], Weights] = weights, rare: boo
     return sorted(out)
 
 
-def any_of(words: list[str]) -> str:
-    return r"(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, words)) + r")(?![\p{L}\p{N}])"
+def words(text: Column | str) -> Column:
+    return F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
 
 
 def may_reach(terms: Column, least: float) -> Column:
@@ -174,12 +174,20 @@ def shares(of: Callable[[], Weights]) -> list[list[tuple[list[str], float]]]:
     return [[(sorted(t for _, t in c), max(c)[0]) for _, c in sorted(x.items())] for x in templates.values()]
 
 
-def has_share(terms: Column, least: float, of: Callable[[], Weights]) -> Column:
+def largest(of: Callable[[], Weights]) -> list[list[tuple[list[str], float]]]:
+    """The same for all templates at once, each term with its largest weight."""
+    most: dict[str, float] = {}
+    for _, _, t, w, _ in of()[0]:
+        most[t] = max(w, most.get(t, 0.0))
+    return shares(lambda: ([(0, "", t, w, 0.0) for t, w in most.items()], 0.0))
+
+
+def has_share(terms: Column, least: float, templates: list[list[tuple[list[str], float]]]) -> Column:
     """Whether a unit has terms enough of some template to reach least."""
-    known = F.array_intersect(terms, F.array(*[F.lit(t) for t in sorted({t for _, _, t, _, _ in of()[0]})]))
+    known = F.array_intersect(terms, F.array(*[F.lit(t) for t in sorted({t for x in templates for names, _ in x for t in names})]))
     size = lambda x, names: F.size(F.array_intersect(x, F.array(*map(F.lit, names))))
     most = lambda x, classes: reduce(lambda p, q: p + q, [size(x, names) * F.lit(w) for names, w in classes])
-    enough = lambda x: F.exists(F.array(*[most(x, c) for c in shares(of)]), lambda y: y >= least * least - 1e-6)
+    enough = lambda x: F.exists(F.array(*[most(x, c) for c in templates]), lambda y: y >= least * least - 1e-6)
     return F.get(F.transform(F.array(known), enough), F.lit(0))
 
 
@@ -207,15 +215,16 @@ def units(text: Column) -> Column:
 def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """(id, path, license, score, origin, inherited_from): origin is own, inherited or null."""
     files = df.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"), F.lower(F.col(text_col).cast("string")).alias("text"))
-    any_anchor = any_of(anchors(least))
-    likely = files.where(F.col("text").rlike(any_anchor))
-    spots = likely.select("id", "path", "text", F.explode(units(F.col("text"))).alias("unit")).where(F.col("unit").rlike(any_anchor))
-    spots = spots.select("id", "path", (F.trim("unit") == F.trim("text")).alias("whole"), F.xxhash64("unit").alias("unit"), F.regexp_extract_all("unit", F.lit(TERM), F.lit(0)).alias("terms"))
-    spots = spots.where(may_reach(F.col("terms"), least))
+    # Words are found once for each text and unit: conditions on them stand inside the array that explode makes rows of.
+    rare = F.array(*map(F.lit, anchors(least)))
+    hopeful = lambda t: F.arrays_overlap(t, rare) & has_share(t, least, largest(weights))
+    likely = files.where(F.exists(F.array(words("text")), hopeful))
+    spots = likely.select("id", "path", "text", F.explode(units(F.col("text"))).alias("unit"))
+    spots = spots.select("id", "path", (F.trim("unit") == F.trim("text")).alias("whole"), F.xxhash64("unit").alias("unit"), F.explode(F.filter(F.array(words("unit")), lambda t: hopeful(t) & may_reach(t, least))).alias("terms"))
     # Whole texts near whole licences.
     entire = files.where(reduce(or_, [F.contains("text", F.lit(a)) for a in anchors(WHOLE_LEAST, whole_weights, rare=False)]))
-    entire = entire.select("id", "path", F.lit(True).alias("whole"), F.xxhash64("text").alias("unit"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("terms"))
-    entire = entire.where(has_share(F.col("terms"), WHOLE_LEAST, whole_weights))
+    near = lambda t: has_share(t, WHOLE_LEAST, largest(whole_weights)) & has_share(t, WHOLE_LEAST, shares(whole_weights))
+    entire = entire.select("id", "path", F.lit(True).alias("whole"), F.xxhash64("text").alias("unit"), F.explode(F.filter(F.array(words("text")), near)).alias("terms"))
     scored = scores(spots, least, weights).withColumn("part", F.lit(True)).unionByName(scores(entire, WHOLE_LEAST, whole_weights).withColumn("part", F.lit(False)))
     best = F.struct((-F.col("score")).alias("down"), "license")
     own = scored.groupBy("id", "path").agg(F.min(best).alias("x"), *[F.min(F.when(F.col("part") & (F.col("license") == n), best)).alias(n) for n in LONGER.values()], F.max("whole").alias("whole"))
