@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
+LONGEST = 2**31 - 1  # characters of a string in JSON: more than a string of Spark can hold
 CONTROL = r"([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|/?SYS>)"
 ESCAPED = r"([<\[])\\(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|/?SYS>)"
 SCHEMA = "messages array<struct<role:string,content:string>>, conversations array<struct<`from`:string,value:string>>, system string, prompt string, response string, completion string, instruction string, input string, output string"
@@ -80,7 +81,7 @@ def canonical(record: Column) -> Column:
                 out = F.when(mark == fingerprint(F.array(*map(F.lit, sorted((*own, *extra))))), made).otherwise(out)
         return out
 
-    return let(F.from_json(record, SCHEMA), lambda r: let(fingerprint(paths(r)), lambda mark: chosen(r, mark)))
+    return let(F.from_json(record, SCHEMA, {"maxStringLen": str(LONGEST)}), lambda r: let(fingerprint(paths(r)), lambda mark: chosen(r, mark)))
 
 
 def escape(text: Column) -> Column:

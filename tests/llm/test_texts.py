@@ -258,6 +258,14 @@ def test_layouts(spark):
     assert got == {i: want for i, (_, want) in enumerate(RECORDS)}
 
 
+def test_chat_long_turn(spark):
+    """A turn of more characters than the reader of JSON allows by itself comes back with its neighbours."""
+    long = F.repeat(F.lit("x"), 20_100_000)
+    rows = spark.range(1).select(F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role"), F.lit("short").alias("text")), F.struct(F.lit(1).alias("turn"), F.lit("tool").alias("role"), long.alias("text")))).alias("x")).select(F.lit(1).alias("conv_id"), "x.*")
+    turns = chat.records_of(rows).select(chat.canonical(F.col("record")).alias("t"))
+    assert [tuple(r) for r in turns.select(F.explode(F.transform("t", lambda x: F.struct(x["role"], F.length(x["text"])))).alias("x")).select("x.*").collect()] == [("user", 5), ("tool", 20_100_000)]
+
+
 def test_chat_query(spark, tmp_path):
     rows = [(4, 1, "assistant", "b"), (4, 0, "user", None), (4, 1, "assistant", "a"), (None, 0, "user", "x")]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
