@@ -7,7 +7,8 @@ training text, which both share, and behind them, in the room left, of those typ
 typical last, where matches are cheapest. Typical is what occurs in far more contexts (the words to
 both sides) than in the other class, so that copies of one text count once.
 
-Each window of ``WINDOW`` words is compressed under both dictionaries; the text's distance is the most bytes
+Windows of ``WINDOW`` words begin every ``STRIDE`` words, so that each passage of up to ``WINDOW - STRIDE`` words lies
+whole in one. Each is compressed under both dictionaries; the text's distance is the most bytes
 that the toxic one saves in any window. A logistic curve, fitted on training rows that the dictionaries
 haven't seen, turns it into a score.
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .passing import add_columns
 from .words import mix, word_hashes
 
-WINDOW, STEM = 128, 4
+WINDOW, STRIDE, STEM = 128, 64, 4
 TOXIC, ORDINARY, LONGEST = 2_000, 5_000, 1_000_000
 SHARED, TYPICAL = 128, 512  # codes of a dictionary
 SIGNIFICANT, TIMES = 15.0, 8.0  # G-statistic and ratio of shares of a typical code
@@ -89,7 +90,7 @@ class Model:
         data, out, at = codes.tobytes(), np.zeros(len(texts)), 0
         for i, n in enumerate(counts.tolist()):
             end = at + n * 16
-            for x in range(at, end, WINDOW * 16):
+            for x in range(at, max(end - (WINDOW - STRIDE) * 16, at + (n > 0)), STRIDE * 16):
                 window = data[x : min(end, x + WINDOW * 16)]
                 out[i] = max(out[i], len(ordinary.compress(window)) - len(toxic.compress(window)))
             at = end

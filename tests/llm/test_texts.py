@@ -122,6 +122,25 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score(docs, blank).collect()} == {0.0}
 
 
+def test_toxicity_windows(monkeypatch):
+    """Each passage of half a window's words lies whole in some window, wherever it stands."""
+
+    class Seen(list):
+        def compress(self, window):
+            self.append(window)
+            return window
+
+    for n in (0, 1, 64, 127, 128, 129, 192, 193, 1000):
+        seen = Seen()
+        monkeypatch.setattr(toxicity, "compressors", lambda *_: (seen, Seen()))  # noqa: B023
+        text = " ".join(f"w{i}" for i in range(n))
+        data = toxicity.codes_of([text])[1].tobytes()
+        toxicity.Model(b"x", b"y", 1.0, 0.0).distance([text])
+        assert all(len(w) <= toxicity.WINDOW * 16 for w in seen)
+        half = toxicity.WINDOW // 2
+        assert all(any(data[i * 16 : (i + half) * 16] in w for w in seen) for i in range(max(n - half + 1, min(n, 1))))
+
+
 def test_quality(spark):
     rng = random.Random(9)
     rows = [(i, prose(rng, 60) if i % 6 else " ".join(f"{w}$$$" for w in prose(rng, 60).split()), int(bool(i % 6))) for i in range(300)]
