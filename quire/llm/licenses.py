@@ -9,9 +9,8 @@ Only units that have an anchor are scored. Anchors are the heaviest terms of the
 as it takes that no unit without an anchor can reach ``LEAST``; so nothing is lost.
 
 Beside that, a whole text is compared with the whole texts in ``licence_texts``, with weights of their own; from
-``WHOLE_LEAST`` on this is a match like a unit's. The bound is high, since legal texts share most of their words: other
-licences come to 0.88 with one another, and the GNU GPLs, of which the nearer one wins, to 0.92. The SQL leaves
-this match out; the tests hold it against a plain version.
+``WHOLE_LEAST`` on this is a match like a unit's. The bound is high, since legal texts share most of their words. The
+SQL leaves this match out.
 
 A licence file is one named like one, or one whose whole text is near a template. Files without a license of
 their own inherit from the nearest directory above that holds a licence file: each distinct directory is
