@@ -4,10 +4,10 @@ Documents become pieces of at most ``capacity`` tokens; only longer documents ar
 first piece is the shorter one. A piece goes where the sum over residual gaps of the squared number
 of open sequences with that gap becomes smallest; of equal places, where the gap left is smallest.
 
-Pieces are dealt at random to shards of a bounded size, each packed on its own, longest pieces first.
-Sequences a shard leaves with room are opened again and their pieces packed together with those of
-``FAN`` shards, and so on up a tree, as far as that saves sequences. Neither a task nor the driver ever
-holds more than a bounded number of pieces.
+Pieces are dealt at random to shards of about ``SHARD`` pieces, each packed on its own, longest pieces first.
+Sequences that shards leave with room are opened again and their pieces dealt anew to groups of about ``SHARD * FAN``
+at most, level by level while the groups become fewer; a level that saves no sequence is given up and is the last. So no task
+holds more pieces than that, up to the chance spread of the deal, and the driver holds counts alone.
 
 Defined cases: a null text is empty, so it is one piece with the end token alone; equal rows are packed
 as often as they occur, null ids too; extra columns don't come along; an empty table gives an empty one.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .bpe import batches, encode_texts, encoder_for
 from .common import discard, written
 
-CAPACITY, SHARD, FAN = 2048, 20_000, 16
+CAPACITY, SHARD, FAN = 2048, 20_000, 2
 END = 0  # id after each document
 
 
@@ -118,7 +118,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, fan: in
         def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
             rows = rows.sort_by([("length", "descending"), ("deal", "ascending")])
             length = rows["length"].to_numpy()
-            at, gaps = place_again(length, capacity, capacity // 64)
+            at, gaps = place_again(length, capacity, room)
             order = np.argsort(at, kind="stable")
             ends = np.cumsum(length[order])
             firsts = np.r_[True, at[order][1:] != at[order][:-1]] if len(at) else np.zeros(0, bool)
@@ -131,19 +131,27 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, fan: in
 
         return run
 
-    parts, level = max(1, -(-n // shard)), 0
-    todo = todo.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(parts)))
+    room = capacity // 64  # what a good packing leaves by chance
+    parts, level, before, rest = max(1, -(-n // shard)), 0, n, None
     while True:
+        todo = todo.withColumn("shard", F.pmod(F.xxhash64("deal", F.lit(level)), F.lit(parts)))
         out = written(todo.groupBy("shard").applyInArrow(packed(level), schema), f"packed{level}")
+        loose = F.col("gap") > room
+        first = F.col("offset") == 0
+        bins, n, open_bins = out.agg(F.count_if(first), F.count_if(loose), F.count_if(first & loose)).first()
+        if rest is not None and bins >= before:
+            done.append(rest)
+            discard(out)
+            break
         made.append(out)
-        if parts == 1:
+        fewer = -(-n // (shard * fan))
+        if parts == 1 or not n or fewer >= parts:
             done.append(out)
             break
-        # Sequences with more room than a shard's packing leaves by chance are opened again.
-        loose = F.col("gap") > capacity // 64
         done.append(out.where(~loose))
-        parts, level = -(-parts // fan), level + 1
-        todo = out.where(loose).drop("level", "bin", "offset", "gap").withColumn("shard", F.floor(F.col("part") / fan)).drop("part")
+        rest, before = out.where(loose), open_bins
+        parts, level = fewer, level + 1
+        todo = rest.drop("level", "part", "bin", "offset", "gap")
     whole = done[0]
     for x in done[1:]:
         whole = whole.unionByName(x)

@@ -1,18 +1,19 @@
 """Operator 5: quality by importance resampling.
 
 Two generative models of hashed n-grams (words and pairs of neighbours, runs of marks being words too) are
-counted, one over rows labelled good (the target), one over all rows (raw text). A text's log weight is the
-sum over its n-grams of the log ratio of target to raw share, less ``border`` for each n-gram; border is the
-mean log ratio that parts good from bad rows best among the labelled ones, where a good row lost
-counts ``LOSS`` times. As many texts as have a positive log weight are then drawn without replacement by
-Gumbel top-k: those with the highest sums of log weight and Gumbel noise, which comes from a hash of the id.
-
-Counts, weights and the draw cover all rows. The target model and the border are fitted on at most
-``SAMPLE`` labelled rows each, the first by a hash of the id.
-
-Defined cases: null and empty texts have no n-gram, so weight 0, and they compete with that; rows that tie with
-the last one drawn, as repeated rows do, are all drawn; null ids share one noise; without labels of both
-kinds the border is 0; an empty table gives an empty one; columns with the names of the new ones give way.
+counted, one over rows labelled good (the target), one over all rows (raw text). A text's importance weight is
+the ratio of the likelihoods that the two give to ``LENGTH`` n-grams like its own: ``LENGTH`` times the mean log ratio of its
+n-grams, so that long and short texts compete alike; ``PRIOR`` n-grams of ratio 1 are counted in, which pulls the mean
+of very short texts to 0. A share ``keep`` of all rows is then drawn without replacement by Gumbel top-k: the rows with the highest
+sums of log weight and Gumbel noise, which comes from a hash of the id. keep is a parameter; its default is the share of good
+rows among the labelled ones.
+
+Counts, weights and the draw cover all rows. The target model is counted on at most ``SAMPLE`` rows labelled
+good, the first by a hash of the id.
+
+Defined cases: null and empty texts have no n-gram, so log weight 0, and they compete with that; rows that tie with
+the last one drawn, as repeated rows do, are all drawn; null ids share one noise; without rows labelled good
+all are kept; an empty table gives an empty one; columns with the names of the new ones give way.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from .common import discard, written
 from .passing import add_columns
 from .words import mix, per_text, word_hashes
 
-BUCKETS, SAMPLE, LOSS, SEED = 1 << 16, 20_000, 10, 17
+BUCKETS, SAMPLE, SEED = 1 << 16, 20_000, 17
+LENGTH, PRIOR = 64, 8  # n-grams
 HIGHEST = 1 << 40
 
 
@@ -50,15 +52,11 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass(frozen=True)
 class Model:
     ratio: np.ndarray  # log ratio of each bucket
-    border: float
-
-    def means(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        n, at = grams(texts)
-        return n, per_text(n, self.ratio[at])
+    share: float  # of rows labelled good among the labelled ones
 
     def log_weight(self, texts: list[str | None]) -> np.ndarray:
-        n, total = self.means(texts)
-        return total - self.border * n
+        n, at = grams(texts)
+        return LENGTH * per_text(n, self.ratio[at]) / (n + PRIOR)
 
 
 def sampled_ids(labels: DataFrame, wanted: Column, id_col: str, most: int) -> np.ndarray:
@@ -68,7 +66,9 @@ def sampled_ids(labels: DataFrame, wanted: Column, id_col: str, most: int) -> np
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     good = sampled_ids(labels, F.col(label_col) == 1, id_col, SAMPLE)
-    bad = sampled_ids(labels, F.col(label_col) == 0, id_col, SAMPLE)
+    told = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col))).first()[0]
+    if not len(good):
+        return Model(np.zeros(BUCKETS), 1.0)
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -87,28 +87,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     for bucket, x, y in counts.collect():  # at most BUCKETS rows
         raw[bucket] += x
         target[bucket] += y
-    model = Model(np.log(target / target.sum()) - np.log(raw / raw.sum()), 0.0)
-    if not len(good) or not len(bad):
-        return model
-
-    def rate(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in parts:
-            for b in batches(whole, 1):
-                n, total = model.means(b.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total / np.maximum(n, 1)), pa.array(n)], ["id", "mean", "n"])
-
-    ids = pairs.sparkSession.createDataFrame([(int(x),) for x in np.union1d(good, bad)], "id bigint")
-    rated = pairs.join(F.broadcast(ids), "id", "left_semi").mapInArrow(rate, "id bigint, mean double, n bigint").where("n > 0").limit(4 * SAMPLE).collect()
-    if not rated:
-        return model
-    x, y = np.array([r[1] for r in rated]), np.isin(np.array([r[0] for r in rated]), good)
-    order = np.argsort(x, kind="stable")
-    x, y = x[order], y[order]
-    cost = np.concatenate([[0], np.cumsum(np.where(y, LOSS, -1))])  # of dropping the i lowest
-    best = np.flatnonzero(cost == cost.min())
-    i = int(best[len(best) // 2])
-    border = x[0] - 1e-3 if i == 0 else x[-1] + 1e-3 if i == len(x) else (x[i - 1] + x[i]) / 2
-    return Model(model.ratio, float(border))
+    return Model(np.log(target / target.sum()) - np.log(raw / raw.sum()), float(told))
 
 
 def gumbel(id_col: str) -> Column:
@@ -142,13 +121,12 @@ def kth_highest(keys: DataFrame, key: str, k: int, parts: int = 4096) -> float:
             return sorted((r[0] for r in keys.where(F.col(key).between(lo, hi)).select(key).collect()), reverse=True)[k - above - 1]
 
 
-def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def resample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: float | None = None) -> DataFrame:
     """df with log_weight, gumbel_key and kept."""
     model = fit(df, labels, id_col, text_col)
     weighed = add_columns(df, text_col, {"log_weight": "double"}, lambda texts: [model.log_weight(texts)])
     weighed = weighed.withColumn("gumbel_key", F.col("log_weight") + gumbel(id_col))
-    keys = written(weighed.select("log_weight", "gumbel_key"), "keys")
-    k = keys.where("log_weight > 0").count()
-    least = kth_highest(keys, "gumbel_key", k)
+    keys = written(weighed.select("gumbel_key"), "keys")
+    least = kth_highest(keys, "gumbel_key", round((model.share if keep is None else keep) * keys.count()))
     discard(keys)
     return weighed.withColumn("kept", F.col("gumbel_key") >= F.lit(least))

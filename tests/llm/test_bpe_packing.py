@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quire.llm import bpe, packing, queries
 from quire.llm.common import tokenizer_path
@@ -97,7 +98,7 @@ def test_place_follows_the_rule():
 def test_pack(spark, shard):
     rng = random.Random(2)
     rows = [(i % 150 if i % 9 else None, " ".join(rng.choice(["alpha", "beta", "gamma ray"]) for _ in range(rng.choice([0, 3, 20, 90])))) for i in range(300)] + [(7, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumnRenamed("x", "y")
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("piece", F.lit("x")).withColumn("ids", F.lit(1)).withColumn("shard", F.lit(0))
     found = packing.pieces(df, tokenizer_path(), capacity=64)
     out = packing.pack(found, capacity=64, shard=shard).toPandas().sort_values(["sequence_id", "offset"])
     theirs = tokenizers.Tokenizer.from_file(tokenizer_path())
@@ -116,6 +117,20 @@ def test_pack(spark, shard):
     assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in out.itertuples())
 
 
+def test_groups_stay_bounded(spark):
+    """Pieces of which no two fit together are packed level by level no further than it saves sequences."""
+    n, shard = 5000, 100
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), (F.lit(33) + F.col("id") % 20).alias("length"), F.lit(0).cast("long").alias("ids_crc32"), F.col("id").alias("deal"))
+    out = packing.pack(rows, capacity=64, shard=shard)
+    groups = out.groupBy(F.shiftright("sequence_id", 24)).count().collect()
+    assert out.count() == n == out.select("sequence_id").distinct().count()
+    assert max(r["count"] for r in groups) <= 1.5 * shard * packing.FAN
+    # Small pieces among them find their places.
+    mixed = rows.withColumn("length", F.when(F.col("doc_id") % 2 == 0, F.col("length")).otherwise(F.lit(4)))
+    out = packing.pack(mixed, capacity=64, shard=shard)
+    assert out.select("sequence_id").distinct().count() == n // 2
+
+
 def test_pack_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(packing.pieces(df, tokenizer_path())).count() == 0

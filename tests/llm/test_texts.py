@@ -122,6 +122,31 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score(docs, blank).collect()} == {0.0}
 
 
+def test_toxicity_lengths():
+    """Distances by plain compression of each window under the two dictionaries, which zstandard has trained."""
+    import zstandard as z
+
+    rows = toxic_rows(random.Random(3), 300)
+    model = toxicity.train([t for _, t, bad in rows if bad], [t for _, t, bad in rows if not bad])
+    assert model.ordinary and model.toxic.startswith(model.ordinary) and len(model.toxic) > len(model.ordinary)
+    texts = [rows[0][1] + " " + rows[1][1], rows[2][1], "", None, "one", prose(random.Random(1), 700)]
+    params = toxicity.parameters()
+    size = lambda data, d: len(z.ZstdCompressor(dict_data=z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=params).compress(data))
+    for text, got in zip(texts, model.distance(texts), strict=True):
+        codes = toxicity.codes_of([text])[1]
+        starts = [i for i in range(0, len(codes), toxicity.STRIDE) if i == 0 or i + toxicity.WINDOW - toxicity.STRIDE < len(codes)]
+        windows = [codes[i : i + toxicity.WINDOW].tobytes() for i in starts]
+        assert got == max([0, *(size(w, model.ordinary) - size(w, model.toxic) for w in windows)])
+    assert toxicity.train(["a b"], ["c d"]).score(["a b c d"])[0] <= 1  # too little for a trainer
+
+
+def test_toxicity_of_nothing(spark):
+    rows = toxic_rows(random.Random(5), 60)
+    model = toxicity.train([t for _, t, bad in rows if bad], [t for _, t, bad in rows if not bad])
+    none = spark.createDataFrame([], "doc_id long, text string, predicted string")
+    assert toxicity.score(none, model).count() == 0
+
+
 def test_toxicity_windows(monkeypatch):
     """Each passage of half a window's words lies whole in some window, wherever it stands."""
 
@@ -147,6 +172,7 @@ def test_quality(spark):
     docs = spark.createDataFrame([r[:2] for r in rows] + ODD + [rows[1][:2]], "doc_id long, text string").withColumn("kept", F.lit(5))
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows[:150]], "doc_id long, quality int")
     out = quality.resample(docs, labels).collect()
+    noise = {r[0]: ((r[1] % (1 << 52)) + 0.5) / (1 << 52) for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(quality.SEED))).collect()}
     truth = {r[0]: r[2] for r in rows}
     assert len(out) == len(docs.collect()) and all(r.kept == bool(truth[r.doc_id]) for r in out if r.doc_id in truth)
     assert {r.log_weight for r in out if r.doc_id in (9001, 9002, 9003)} == {0.0}
@@ -157,11 +183,21 @@ def test_quality(spark):
     good = np.repeat([i < 150 and truth.get(i) == 1 for i in [r[0] for r in rows]] + [False] * len(ODD) + [True], n)
     target = 1 + np.bincount(at[good], minlength=quality.BUCKETS)
     assert np.allclose(model.ratio, np.log(target / target.sum()) - np.log(raw / raw.sum()))
-    # The draw is exactly the top k of the keys.
-    k = sum(r.log_weight > 0 for r in out)
-    least = sorted((r.gumbel_key for r in out), reverse=True)[k - 1]
-    assert all(r.kept == (r.gumbel_key >= least) for r in out)
+    # Weights of whole texts, by plain sums over each text's n-grams; empty texts weigh 0.
+    plain = {i: quality.LENGTH * sum(model.ratio[b] for b in quality.grams([t])[1]) / (len(quality.grams([t])[1]) + quality.PRIOR) for i, t, _ in rows}
+    assert all(abs(r.log_weight - plain[r.doc_id]) < 1e-6 for r in out if r.doc_id in plain)
+    # The draw is exactly the top k of weight and noise, for any share, and the noise takes part in it.
+    assert model.share == np.mean([r[2] for r in rows[:150]])
+    for keep in (None, 0.5, 1.0):
+        told = quality.resample(docs, labels, keep=keep).collect()
+        k = round((model.share if keep is None else keep) * len(told))
+        least = sorted((r.log_weight - np.log(-np.log(noise[r.doc_id])) for r in told), reverse=True)[k - 1]
+        assert all(r.kept == (r.gumbel_key >= least - 1e-9) for r in told)
+        if keep == 0.5:
+            border = sorted((r.log_weight for r in told), reverse=True)[k - 1]
+            assert any(r.kept != (r.log_weight >= border) for r in told)
     assert quality.resample(docs.limit(0), labels).count() == 0
+    assert {r.kept for r in quality.resample(docs, labels, keep=0.0).collect()} == {False}
     assert quality.resample(docs, labels.limit(0)).count() == len(out)
 
 
