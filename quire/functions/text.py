@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[\s\x1c-\x1f\x85]"
+#: What Python strips: Unicode white space and the separators U+001C to U+001F.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
@@ -18,15 +19,15 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"(?U){SPACE}+\z", "")
+    return F.rtrim(col(c), F.lit(WHITE))
 
 
 def lstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"(?U)\A{SPACE}+", "")
+    return F.ltrim(col(c), F.lit(WHITE))
 
 
 def full(c: Column | str, pattern: str, flags: str = "U") -> Column:
@@ -54,7 +55,7 @@ def strip_code_fence(c: Column | str) -> Column:
 
 def clean_reply(c: Column | str) -> Column:
     """Without a fence and a leading speaker name."""
-    return strip(F.regexp_replace(strip_code_fence(c), r"(?i)\Aassistant\s*[:：]\s*", ""))
+    return strip(F.regexp_replace(strip_code_fence(c), r"(?U)\A(?:assistant|Assistant)\s*[:：]\s*", ""))
 
 
 def int_product(c: Column | str, default: int) -> Column:
@@ -103,7 +104,7 @@ def dollar_math(c: Column | str) -> Column:
 
 def strip_model_junk(c: Column | str) -> Column:
     """Without <|…|> tokens and box tags."""
-    return strip(F.regexp_replace(F.regexp_replace(col(c), r"<\|[^|>]*\|>", ""), r"(?i)</?box>", ""))
+    return strip(F.regexp_replace(F.regexp_replace(col(c), r"<\|[^|>]+\|>", ""), r"(?i)</?box>", ""))
 
 
 TODO = "% TODO: verify unpaired dollar"
@@ -120,7 +121,8 @@ def mark_unpaired_dollars(c: Column | str) -> Column:
 
 def ensure_table_packages(c: Column | str) -> Column:
     """longtable and array loaded where a longtable needs them and no preamble names it."""
-    need = F.contains(col(c), F.lit("\\begin{longtable}")) & ~F.contains(F.substring_index(col(c), "\\begin{document}", 1), F.lit("longtable"))
+    named = F.contains(col(c), F.lit("\\usepackage{longtable")) | F.contains(F.substring_index(col(c), "\\begin{document}", 1), F.lit("longtable"))
+    need = F.contains(col(c), F.lit("\\begin{longtable}")) & ~named
     added = r"\\usepackage{longtable,array}" + "\n"
     packages, head = r"(?s)\A(.*?\\usepackage\{[^}]*\}\n)", r"(?s)\A(.*?\\documentclass(?:\[[^\]]*\])?\{[^}]*\}\n)"
     put = lambda pattern: F.regexp_replace(col(c), pattern, "$1" + added)

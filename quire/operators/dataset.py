@@ -156,34 +156,38 @@ def part_text(sub: Column, text: Column) -> Column:
 
 
 def merge_subparts(rows: DataFrame, number: str = "row_no", document: str = "source.pdf") -> DataFrame:
-    """(row_no, id, question_id, question, has_figure, figure_description, notes, merged): following rows of one
-    page and main number as one question. A subpart without a number belongs to the number before it on
-    its page; a row without any id stands alone. Rows come in the order of pages; windows are by document."""
+    """Rows with following ones of one page and main number as one question, and ``merged``, how many each was made of. A subpart
+    without a number belongs to the number before it if that is on its page and nothing but such subparts stands between; a row
+    without any id stands alone. A merged row is its first one's with the texts, figures and notes of all. Rows come in the order
+    of pages; windows are by document."""
     doc = Window.partitionBy("_doc").orderBy(number)
     before = doc.rowsBetween(Window.unboundedPreceding, -1)
-    q = parse_question_id("source.question_id")
-    told = rows.withColumn("_doc", F.coalesce(F.col(document), F.lit(""))).withColumn("_page", F.col("source.page")).withColumn("_q", q).withColumn("_none", F.col("_q.main").isNull() & F.col("_q.sub").isNull())
-    said = F.when(F.col("_q.main").isNotNull(), F.struct(F.col("_page").alias("page"), F.col("_q.main").alias("main")))
-    told = told.withColumn("_last", F.last(said, ignorenulls=True).over(before))
-    same = F.col("_q.main").isNull() & ~F.col("_none") & F.col("_last.page").eqNullSafe(F.col("_page"))
-    told = told.withColumn("_main", F.when(F.col("_q.main").isNotNull(), F.col("_q.main")).when(same, F.col("_last.main")))
+    told = rows.withColumn("_doc", F.coalesce(F.col(document), F.lit(""))).withColumn("_page", F.col("source.page")).withColumn("_q", parse_question_id("source.question_id"))
+    orphan = F.col("_q.main").isNull() & F.col("_q.sub").isNotNull()
+    told = told.withColumn("_last", F.last(F.when(~orphan, F.struct(F.col("_page").alias("page"), F.col("_q.main").alias("main"))), ignorenulls=True).over(before))
+    same = orphan & F.col("_last.page").eqNullSafe(F.col("_page"))
+    told = told.withColumn("_main", F.when(orphan, F.when(same, F.col("_last.main"))).otherwise(F.col("_q.main")))
     mark = F.struct(F.col("_page").alias("p"), F.coalesce("_main", F.concat(F.lit("\x00"), F.col(number).cast("string"))).alias("m"))
     told = told.withColumn("_mark", mark).withColumn("_new", F.when(F.lag("_mark").over(doc).eqNullSafe(F.col("_mark")), 0).otherwise(1))
     told = told.withColumn("_group", F.sum("_new").over(doc.rowsBetween(Window.unboundedPreceding, 0)))
     figure = strip(F.coalesce("figure_description", F.lit("")))
-    item = F.struct(F.col(number).alias("n"), F.col("id").alias("id"), part_text(F.col("_q.sub"), first_text("messages", "user")).alias("t"), first_text("messages", "user").alias("raw"), F.nullif(figure, F.lit("")).alias("f"), F.col("notes").alias("notes"), F.col("source.question_id").alias("qid"))
-    found = told.groupBy("_doc", "_group").agg(F.array_sort(F.collect_list(item)).alias("x"), F.bool_or(F.coalesce("has_figure", F.lit(False))).alias("has_figure"), F.first("_main").alias("main"), F.first("_page").alias("page"), F.count(F.lit(1)).alias("merged"))
-    one, head = F.col("merged") == 1, F.get("x", F.lit(0))
+    item = F.struct(F.col(number).alias("n"), part_text(F.col("_q.sub"), first_text("messages", "user")).alias("t"), F.nullif(figure, F.lit("")).alias("f"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    found = told.groupBy("_doc", "_group").agg(F.array_sort(F.collect_list(item)).alias("_x"), F.min_by(whole, number).alias("_row"), F.bool_or(F.coalesce("has_figure", F.lit(False))).alias("_figure"), F.first("_main").alias("_main"), F.first("_page").alias("_page"), F.count(F.lit(1)).alias("merged"))
+    one, row = F.col("merged") == 1, lambda c: F.col(f"_row.`{c}`")
     stem = F.regexp_replace(F.regexp_replace(F.coalesce(F.nullif("_doc", F.lit("")), F.lit("draft")), r"\A.*/", ""), r"(?<=.)\.[^.]*\z", "")
     note = F.concat(F.lit("merged "), F.col("merged").cast("string"), F.lit(" subparts"))
-    old = strip(F.coalesce(head["notes"], F.lit("")))
-    return found.select(
-        head["n"].alias(number),
-        F.when(one, head["id"]).otherwise(F.concat(stem, F.lit("_p"), F.lpad(F.coalesce(F.col("page"), F.lit(0)).cast("string"), 3, "0"), F.lit("_q"), F.coalesce("main", F.lit("merged")))).alias("id"),
-        F.when(one, head["qid"]).otherwise(F.coalesce("main", head["qid"])).alias("question_id"),
-        F.when(one, head["raw"]).otherwise(F.array_join(F.array_compact(F.transform("x", lambda r: r["t"])), "\n\n")).alias("question"),
-        "has_figure",
-        F.nullif(F.array_join(F.array_distinct(F.array_compact(F.transform("x", lambda r: r["f"]))), "；"), F.lit("")).alias("figure_description"),
-        F.when(one, head["notes"]).when(old == "", note).otherwise(F.concat(old, F.lit(" | "), note)).alias("notes"),
-        F.col("merged").cast("bigint").alias("merged"),
-    )
+    old = strip(F.coalesce(row("notes"), F.lit("")))
+    text = F.array_join(F.array_compact(F.transform("_x", lambda r: r["t"])), "\n\n")
+    figures = F.array_distinct(F.array_compact(F.transform("_x", lambda r: r["f"])))
+    messages = row("messages")
+    first = F.array_position(F.transform(messages, lambda m: F.coalesce(m["role"], F.lit(""))), "user")
+    new = {
+        "id": F.concat(stem, F.lit("_p"), F.format_string("%03d", F.coalesce("_page", F.lit(0)).cast("long")), F.lit("_q"), F.coalesce("_main", F.lit("merged"))),
+        "source": row("source").withField("question_id", F.coalesce("_main", row("source")["question_id"])),
+        "messages": F.transform(messages, lambda m, i: F.when(i + 1 == first, m.withField("content", text)).otherwise(m)),
+        "has_figure": F.col("_figure"),
+        "figure_description": F.when(F.size(figures) > 0, F.array_join(figures, "；")).otherwise(row("figure_description")),
+        "notes": F.when(old == "", note).otherwise(F.concat(old, F.lit(" | "), note)),
+    }
+    return found.select(*[F.when(one, row(c)).otherwise(new[c]).alias(c) if c in new else row(c).alias(c) for c in rows.columns], F.col("merged").cast("bigint").alias("merged"))

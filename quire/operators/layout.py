@@ -84,10 +84,19 @@ def block_type(label: Column | str, detector: str) -> Column:
 
 
 def detections(found: DataFrame, detector: str, keys: list[str], index: str = "index") -> DataFrame:
-    """Detections as blocks with ids. One detector numbers what it keeps, the others number what they saw."""
+    """Detections as blocks with ids. One detector numbers what it keeps, the others number what they saw. A predicted
+    position, if there is one, is the order; ids go by the number all the same."""
     kept = found.where(F.size("bbox") == 4)
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(index)) - 1 if detector != "surya" else F.col(index).cast("int")
-    return kept.withColumn("order", number).withColumn("block_id", F.format_string("p%03d_b%03d", F.col("page").cast("long"), F.col("order").cast("long"))).withColumn("block_type", block_type("label", detector))
+    kept = kept.withColumn("order", number).withColumn("block_id", F.format_string("p%03d_b%03d", F.col("page").cast("long"), F.col("order").cast("long"))).withColumn("block_type", block_type("label", detector))
+    return kept.withColumn("order", F.coalesce(F.col("position").cast("int"), "order")).drop("position") if "position" in found.columns else kept
+
+
+def merge_order(blocks: DataFrame, predicted: DataFrame, keys: list[str], index: str = "index") -> DataFrame:
+    """Blocks with the order that a second model predicted for the block of that index on their page, where it did.
+    predicted: (keys, index, position)."""
+    told = predicted.groupBy(*keys, index).agg(F.min("position").alias("_position"))
+    return blocks.join(told, [*keys, index], "left").withColumn("order", F.coalesce(F.col("_position").cast("int"), F.col("order"))).drop("_position")
 
 
 def whole_page_blocks(pages: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -131,9 +140,9 @@ def page_number(name: Column | str, count: Column | None = None) -> Column:
 
 
 def match_images(pages: DataFrame, images: DataFrame) -> DataFrame:
-    """Pages with the image of their image's file name, where there is one."""
+    """Pages with the image of their image's file name, where there is one; of equal names the last path counts."""
     name = lambda c: F.substring_index(c, "/", -1)
-    known = images.select(name("path").alias("_name"), F.col("path").alias("_found"))
+    known = images.groupBy(name("path").alias("_name")).agg(F.max("path").alias("_found"))
     return pages.withColumn("_name", name("image_path")).join(known, "_name", "left").withColumn("image_path", F.coalesce("_found", "image_path")).drop("_name", "_found")
 
 
@@ -146,17 +155,26 @@ def decide_panels(pages: DataFrame, threshold: float = 0.75, enabled: bool = Tru
     return told.withColumn("fallback", back).withColumn("panels", F.when(back, F.array().cast(geometry.two_type())).otherwise(geometry.panel_boxes("class", F.lit(0.0), F.col("split"))))
 
 
-def merge_panels(blocks: DataFrame, keys: list[str]) -> DataFrame:
+def merge_panels(blocks: DataFrame, keys: list[str], version: str = "version_id", order: str = "order", last: list[str] | None = None) -> DataFrame:
     """Blocks of panels as blocks of their page: boxes moved, panels one after the other, ids anew.
-    blocks: with bbox, panel (its box in shares), page_width, page_height, version_id and order."""
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("version_id", "order")) - 1
-    own = F.row_number().over(Window.partitionBy(*keys, "version_id").orderBy("order")) - 1
-    moved = blocks.withColumn("bbox", geometry.remap(F.col("bbox"), F.col("panel"), F.col("page_width"), F.col("page_height"))).withColumn("_order", number).withColumn("_own", own)
-    return moved.withColumn("order", F.col("_order")).withColumn("block_id", F.format_string("p%03d_%s_b%03d", F.col("page").cast("long"), F.col("version_id"), F.col("_own").cast("long"))).drop("_order", "_own")
-
-
-def label_panels(panels: DataFrame, drafts: DataFrame) -> DataFrame:
-    """Panels with the language that their draft seems to have; drafts: (version_id, draft)."""
+    blocks: with bbox, panel (its box in shares), page_width, page_height, version and order; equal orders go by the columns
+    ``last``, or else by all that can be ordered. Each block has one number in its panel; its page's is that and the
+    number of blocks in the panels before."""
+    ties = last or [f"`{c}`" for c, t in blocks.dtypes if not t.startswith(("map", "variant")) and c not in (*keys, version, order)]
+    own = F.row_number().over(Window.partitionBy(*keys, version).orderBy(order, *ties)) - 1
+    moved = blocks.withColumn("bbox", geometry.remap(F.col("bbox"), F.col("panel"), F.col("page_width"), F.col("page_height"))).withColumn("_own", own)
+    # Blocks of panels before a block's: all up to its panel's last, less its panel's own.
+    panel = Window.partitionBy(*keys, version)
+    upto = F.count(F.lit(1)).over(Window.partitionBy(*keys).orderBy(version).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    number = upto - F.count(F.lit(1)).over(panel) + F.col("_own")
+    named = F.format_string("p%03d_%s_b%03d", F.col("page").cast("long"), F.col(version), F.col("_own").cast("long"))
+    return moved.withColumn("_order", number).withColumn(order, F.col("_order")).withColumn("block_id", named).drop("_order", "_own")
+
+
+def label_panels(panels: DataFrame, drafts: DataFrame, keys: tuple[str, ...] = ("page", "version_id")) -> DataFrame:
+    """Panels with the language that their draft seems to have; drafts: (page, version_id, draft). Keys that one
+    side doesn't have don't count."""
     from ..functions.text import guess_language
 
-    return panels.join(drafts, "version_id", "left").withColumn("semantic", guess_language(F.coalesce("draft", F.lit("")))).drop("draft")
+    on = [k for k in keys if k in panels.columns and k in drafts.columns]
+    return panels.join(drafts.select(*on, "draft"), on, "left").withColumn("semantic", guess_language(F.coalesce("draft", F.lit("")))).drop("draft")

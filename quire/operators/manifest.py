@@ -13,13 +13,14 @@ JOB_ID, SHA = rf"\A{NAME}\z", r"\A[0-9a-f]{64}\z"
 
 def unsafe(path: Column) -> Column:
     """Empty, absolute, or with a step up."""
-    return (path == "") | path.startswith("/") | path.rlike(r"\A[A-Za-z]:") | F.array_contains(F.split(path, r"[/\\]"), "..")
+    return (path == "") | path.startswith("/") | path.startswith("\\") | path.rlike(r"\A[A-Za-z]:") | F.array_contains(F.split(path, r"[/\\]"), "..")
 
 
 def errors(raw: Column | str = "manifest") -> Column:
     """What is wrong with a manifest given as JSON text, in order."""
     text = F.col(raw) if isinstance(raw, str) else raw
     m = F.from_json(text, "done_schema string, job_id string, doc_id string, created_at string, source_pdf string, ocr_pipeline_version string, artifacts array<struct<path:string,sha256:string>>")
+    schema = F.to_json(F.try_variant_get(F.try_parse_json(text), "$.done_schema", "variant"))
     keys = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
     extra = F.array_sort(F.array_except(keys, F.array(*map(F.lit, FIELDS))))
     paths = F.coalesce(F.transform(m["artifacts"], lambda a: a["path"]), F.array().cast("array<string>"))
@@ -28,7 +29,8 @@ def errors(raw: Column | str = "manifest") -> Column:
     parts = F.from_json(F.get_json_object(text, "$.artifacts"), "array<map<string,string>>")
     checks = [
         (F.size(extra) > 0, F.concat(F.lit("unknown fields: "), F.array_join(extra, ", "))),
-        (no(m["done_schema"] != "1"), F.lit("done_schema must be 1")),
+        # The number 1; a text that says so isn't.
+        (no(~schema.isin("1", "1.0", "true")), F.lit("done_schema must be 1")),
         (no(~m["job_id"].rlike(JOB_ID)), F.lit("bad job_id")),
         (no(~F.length(m["doc_id"]).between(1, 128)), F.lit("bad doc_id")),
         (blank(m["created_at"]), F.lit("bad created_at")),

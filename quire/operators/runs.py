@@ -68,7 +68,7 @@ def page_limit(pages: DataFrame, keys: list[str], most: int, page: str = "page_i
 
     if not most:
         return pages
-    return pages.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(page))).where(F.col("_n") <= most).drop("_n")
+    return pages.withColumn("_n", F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(page))).where(F.col("_n") <= most).drop("_n")
 
 
 def page_text(tex: str = "tex_body", txt: str = "txt", draft: str = "draft"):
@@ -85,3 +85,14 @@ def preflight(publish: bool, ingest: bool, share_writable: bool, key: str | None
         raise ValueError("the share can't be written")
     if ingest and not key:
         raise ValueError("ingest needs a key")
+
+
+def notes() -> dict[str, str]:
+    """What a command line says before a run and at its last stage."""
+    return {"preflight": "Note: Stage3 may take several minutes; silence is OK.", "arrange": "Stage3 arrange…"}
+
+
+def success_lines(tex: str, warnings: list[str], most: int = 220) -> list[str]:
+    """The last lines of a run: the document, what comes next, and the warnings, each once, on one line."""
+    line = warning_line(list(dict.fromkeys(w.strip() for w in warnings if w.strip())), most)
+    return [f"TEX: {tex}", f"Next: edit <=10m, then latexmk -xelatex {tex.rsplit('/', 1)[-1]}", *([f"WARN: {line}"] if line else [])]

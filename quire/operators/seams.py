@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import layout, segments
+from ..functions import geometry, text
+from . import layout, runs, segments
 
 
 class EngineError(RuntimeError):
@@ -80,39 +81,144 @@ def flatten_lines(result: object) -> list[str]:
     return [line for x in result for line in flatten_lines(x)] if isinstance(result, (list, tuple)) else []
 
 
-def detect(pages: DataFrame, factory: Callable[[], LayoutEngine], detector: str, keys: list[str]) -> DataFrame:
-    """Blocks of page images (keys, content) in reading order."""
-    shape = pages.select(*keys).schema.simpleString()[7:-1] + ",index int,label string,bbox array<double>,confidence double"
+def scan(pages: DataFrame, factory: Callable[[], LayoutEngine], keys: list[str]) -> DataFrame:
+    """(keys, index, label, bbox, confidence, position, error): what an engine finds on page images (keys, content).
+    An engine may give a predicted position behind the confidence. A page that fails is one row with its error and no label,
+    so that the other pages go on."""
+    shape = pages.select(*keys).schema.simpleString()[7:-1] + ",index int,label string,bbox array<double>,confidence double,position int,error string"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         engine = factory()
         for df in parts:
-            rows = [(*key, i, label, box, sure) for *key, data in df.itertuples(index=False) for i, (label, *box, sure) in enumerate(engine(data))]
-            yield pd.DataFrame(rows, columns=[*keys, "index", "label", "bbox", "confidence"])
+            rows = []
+            for *key, data in df.itertuples(index=False):
+                try:
+                    found = [(label, list(rest[:4]), rest[4], rest[5] if len(rest) > 5 else None) for label, *rest in engine(data)]
+                    rows += [(*key, i, *f, None) for i, f in enumerate(found)]
+                except Exception as e:
+                    rows.append((*key, None, None, None, None, None, f"{type(e).__name__}: {e}"))
+            out = pd.DataFrame(rows, columns=[*keys, "index", "label", "bbox", "confidence", "position", "error"])
+            yield out.astype({"index": "Int32", "position": "Int32"})
+
+    return pages.select(*keys, "content").mapInPandas(run, shape)
+
 
-    found = layout.detections(pages.select(*keys, "content").mapInPandas(run, shape), detector, keys)
+def blocks_of(found: DataFrame, detector: str, keys: list[str]) -> DataFrame:
+    """What ``scan`` found as blocks in reading order; failed pages have none."""
+    kept = layout.detections(found.where("error is null").drop("error"), detector, keys)
     boxes = [F.col("bbox")[i].alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))]
-    return layout.reading_order(found.select("*", *boxes), keys)
+    return layout.reading_order(kept.select("*", *boxes), keys)
+
+
+def detect(pages: DataFrame, factory: Callable[[], LayoutEngine], detector: str, keys: list[str]) -> DataFrame:
+    """Blocks of page images (keys, content) in reading order; ``scan`` tells which pages failed."""
+    return blocks_of(scan(pages, factory, keys), detector, keys)
+
+
+def crops(blocks: DataFrame, pages: DataFrame, keys: list[str], cut: Callable[[bytes, tuple[int, int, int, int]], bytes], pad: int = 2) -> DataFrame:
+    """Blocks with ``crop``, the part of their page's image that they cover, with a margin, cut by a function that callers give.
+    pages: (keys, content, width, height)."""
+    sized = blocks.join(pages.select(*keys, "content", F.col("width").alias("_w"), F.col("height").alias("_h")), keys)
+    sized = sized.withColumn("_box", geometry.crop_box(geometry.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]), F.col("_w"), F.col("_h"), pad))
+
+    @F.pandas_udf("binary")
+    def run(data: pd.Series, box: pd.DataFrame) -> pd.Series:
+        return pd.Series([cut(bytes(d), tuple(b)) for d, b in zip(data, box[["x1", "y1", "x2", "y2"]].itertuples(index=False), strict=True)], dtype=object)
+
+    return sized.withColumn("crop", run("content", "_box")).drop("content", "_w", "_h", "_box")
+
+
+def panel_pages(pages: DataFrame, cut: Callable[[bytes, tuple[int, int, int, int]], bytes], settings: Settings) -> DataFrame:
+    """Pages (…, content, width, height, pixels) as panels, each with its version, its box in shares of the page (panel) and
+    its own image; a page that isn't split is one panel, v0."""
+    told = layout.decide_panels(pages, settings.panel_threshold, settings.panels)
+    one = F.array(F.struct(F.lit("v0").alias("version_id"), geometry.box(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)).alias("box")))
+    each = told.withColumn("_p", F.explode(F.when(F.size("panels") > 0, F.col("panels")).otherwise(one))).withColumn("_split", F.size("panels") > 0)
+    each = each.withColumn("_px", geometry.to_pixels(F.col("_p.box"), F.col("width"), F.col("height")))
+
+    @F.pandas_udf("binary")
+    def run(data: pd.Series, box: pd.DataFrame, split: pd.Series) -> pd.Series:
+        return pd.Series([cut(bytes(d), tuple(b)) if s else bytes(d) for d, b, s in zip(data, box[["x1", "y1", "x2", "y2"]].itertuples(index=False), split, strict=True)], dtype=object)
+
+    out = each.withColumn("content", run("content", "_px", "_split")).withColumn("page_width", F.col("width").cast("double")).withColumn("page_height", F.col("height").cast("double"))
+    return out.select(*[c for c in pages.columns if c not in ("pixels", "width", "height")], F.col("_p.version_id").alias("version_id"), F.col("_p.box").alias("panel"), "page_width", "page_height")
 
 
-def read_blocks(blocks: DataFrame, engines: dict[str, Callable[[], TextEngine]], crop: str = "crop") -> DataFrame:
-    """Routed blocks with raw_text from the engine of their route, empty for those skipped."""
-    named = [f"`{c}` {t}" for c, t in blocks.dtypes if c != "raw_text"]
+def detect_panels(panels: DataFrame, factory: Callable[[], LayoutEngine], detector: str, keys: list[str]) -> DataFrame:
+    """Blocks of panels as blocks of their pages: each panel is analysed on its own, its boxes are moved to the page and
+    panels follow one another. panels: from ``panel_pages``."""
+    own = [*keys, "version_id"]
+    found = detect(panels, factory, detector, own).join(panels.select(*own, "panel", "page_width", "page_height"), own)
+    found = found.withColumn("bbox", geometry.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
+    moved = layout.merge_panels(found, keys, last=["index"])
+    return moved.select(*[c for c in moved.columns if c not in ("x1", "y1", "x2", "y2", "panel", "page_width", "page_height")], "bbox.x1", "bbox.y1", "bbox.x2", "bbox.y2")
+
+
+def read_blocks(blocks: DataFrame, engines: dict[str, Callable[[], TextEngine]], crop: str = "crop", isolate: bool = False) -> DataFrame:
+    """Routed blocks with raw_text from the engine of their route, empty for those skipped. Of each batch the blocks of one
+    engine are read before those of the next, in the order of ``engines``, so that one engine is at work at a time.
+    isolate: a failing block, or one without text, has its error in ``error`` and the others go on."""
+    named = [f"`{c}` {t}" for c, t in blocks.dtypes if c not in ("raw_text", "error")] + ["raw_text string"] + ["error string"] * isolate
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ready: dict[str, TextEngine] = {}
         for df in parts:
-            out = []
-            for to, skipped, data in zip(df["route"], df["skipped"], df[crop], strict=True):
-                if skipped:
-                    out.append("")
-                    continue
-                if to not in engines:
-                    raise EngineError(f"no engine for {to}")
-                out.append(ready.setdefault(to, engines[to]())(data))
-            yield df.assign(raw_text=out)
+            todo = df.index[~df["skipped"].astype(bool)]
+            missing = set(df.loc[todo, "route"]) - set(engines)
+            if missing:
+                raise EngineError(f"no engine for {', '.join(sorted(map(str, missing)))}")
+            said, error = pd.Series("", df.index, dtype=object), pd.Series(None, df.index, dtype=object)
+            for to in engines:
+                mine = todo[df.loc[todo, "route"] == to]
+                if len(mine) and to not in ready:
+                    ready[to] = engines[to]()
+                for i in mine:
+                    try:
+                        said[i] = ready[to](df.at[i, crop])
+                        error[i] = None if said[i].strip() else "empty text"
+                    except Exception as e:
+                        if not isolate:
+                            raise
+                        error[i] = f"{type(e).__name__}: {e}"
+            out = df.drop(columns=[c for c in ("raw_text", "error") if c in df]).assign(raw_text=said)
+            yield out.assign(error=error) if isolate else out
+
+    return blocks.drop("raw_text", *["error"] * isolate).mapInPandas(run, ", ".join(named))
+
+
+def page_texts(pages: DataFrame, factory: Callable[[], TextEngine], keys: list[str]) -> DataFrame:
+    """(keys, text, error): whole pages (keys, content) through one engine, its replies cleaned. A page that fails, or has no
+    text, keeps the reason in its row; the others go on."""
+    shape = pages.select(*keys).schema.simpleString()[7:-1] + ",reply string,failed string"
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        engine = factory()
+        for df in parts:
+            rows = []
+            for *key, data in df.itertuples(index=False):
+                try:
+                    rows.append((*key, engine(data), None))
+                except Exception as e:
+                    rows.append((*key, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=[*keys, "reply", "failed"])
+
+    read = pages.select(*keys, "content").mapInPandas(run, shape).withColumn("text", text.truthy(text.clean_reply("reply")))
+    return read.select(*keys, "text", F.coalesce("failed", F.when(F.col("text").isNull(), "empty text")).alias("error"))
 
-    return blocks.drop("raw_text").mapInPandas(run, ", ".join([*named, "raw_text string"]))
+
+def with_prompt(model: Callable[[str], str], prompt: str) -> Callable[[str], str]:
+    """A model that gets a prompt before each text."""
+    return lambda piece: model(prompt + piece)
+
+
+def backend(config: dict) -> str:
+    """Which client a configuration asks for: the vlm section's backend, or glm without such a section."""
+    return (config["vlm"] or {}).get("backend", "qwen") if "vlm" in config else "glm"
+
+
+def greedy(options: dict) -> dict:
+    """Options of a generation that never samples."""
+    return {k: v for k, v in options.items() if k not in ("temperature", "top_p", "top_k")} | {"do_sample": False}
 
 
 def caption_figures(figures: DataFrame, factory: Callable[[], TextEngine], crop: str = "crop") -> DataFrame:
@@ -134,15 +240,22 @@ def caption_figures(figures: DataFrame, factory: Callable[[], TextEngine], crop:
     return figures.mapInPandas(run, ", ".join([*named, "caption string", "error string"]))
 
 
-def drafts_of(pages: DataFrame, keys: list[str], find: Callable[[], LayoutEngine], engines: dict[str, Callable[[], TextEngine]], settings: Settings) -> DataFrame:
-    """(keys, draft): from page images to drafts. Engines here get the whole page's bytes with their block."""
+def drafts_of(pages: DataFrame, keys: list[str], find: Callable[[], LayoutEngine], engines: dict[str, Callable[[], TextEngine]], settings: Settings, cut: Callable[[bytes, tuple[int, int, int, int]], bytes] | None = None) -> DataFrame:
+    """(keys, draft): from page images to drafts. With ``cut``, which needs pages with width and height, and with pixels for
+    panels, engines get each block's part of the page, else the whole page."""
     if settings.page_limit:
-        pages = layout_limit(pages, settings.page_limit)
-    blocks = layout.route(detect(pages, find, settings.layout, keys)).join(pages.select(*keys, F.col("content").alias("crop")), keys)
-    read = read_blocks(blocks, engines).withColumn("version_id", F.lit(None).cast("string"))
-    return segments.stitch(read, keys)
-
-
-def layout_limit(pages: DataFrame, most: int) -> DataFrame:
-    """The first pages by number; 0: all."""
-    return pages.where(F.col("page") <= most) if most else pages
+        pages = layout_limit(pages, settings.page_limit, keys)
+    if cut is not None and settings.panels:
+        found = detect_panels(panel_pages(pages, cut, settings), find, settings.layout, keys)
+    else:
+        found = detect(pages, find, settings.layout, keys).withColumn("version_id", F.lit("v0" if settings.panels else None).cast("string"))
+    blocks = layout.route(found)
+    if not settings.skip_figures:
+        blocks = blocks.withColumn("skipped", F.col("route") == "none").withColumn("skip_reason", F.lit(None).cast("string"))
+    blocks = crops(blocks, pages, keys, cut) if cut is not None else blocks.join(pages.select(*keys, F.col("content").alias("crop")), keys)
+    return segments.stitch(read_blocks(blocks, engines), keys)
+
+
+def layout_limit(pages: DataFrame, most: int, keys: list[str] | None = None) -> DataFrame:
+    """Each document's first pages in their order, whatever their numbers; 0: all."""
+    return runs.page_limit(pages, [k for k in keys or [] if k != "page"], most, "page")

@@ -9,31 +9,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import latex, pages
-from ..functions.text import col, full, rstrip, strip
-
-OPTION = r"[A-Da-d][.．、)]\s*"
-PUNCTUATION = r"[。．.、，,；;：:！!？?\s]+"
-NUMBER = r"\d{1,2}[.．]\s*"
-
+from ..functions.text import col, document_body, parse_polish, strip, strip_model_junk, truthy, wrap_document
 
 def glue(parts: Column | str) -> Column:
     """An array of fragments as one text: fragments of one option joined, others parted by blank lines."""
 
-    def goes_on(prev: Column, cur: Column) -> Column:
-        option = full(prev, OPTION)
-        started = prev.rlike(rf"(?U)\A{OPTION}")
-        short = (F.length(prev) <= pages.SHORT) & (F.length(cur) <= pages.SHORT) & ~cur.rlike(r"(?U)\A\d")
-        yes = full(cur, PUNCTUATION) | option & (F.length(cur) <= pages.LONGEST_FIRST) | started & (F.length(cur) <= pages.LONGEST_BODY) & (F.length(prev) <= pages.LONGEST_OPTION) | short
-        return ~full(cur, OPTION) & ~full(cur, NUMBER) & ~full(prev, NUMBER) & yes
-
-    def step(done: Column, cur: Column) -> Column:
-        prev = F.get(done, F.size(done) - 1)
-        both = F.when(full(cur, PUNCTUATION), F.concat(rstrip(prev), cur)).otherwise(F.concat(rstrip(prev), F.lit(" "), cur))
-        return F.when(cur == "", done).when(goes_on(prev, cur), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(strip(both)))).otherwise(F.concat(done, F.array(cur)))
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(pages.glue, na_action="ignore")
 
-    bare = F.transform(col(parts), strip)
-    rest = F.slice(bare, 2, F.greatest(F.size(bare) - 1, F.lit(0)))
-    return F.when(F.size(bare) == 0, F.lit("")).otherwise(F.aggregate(rest, F.slice(bare, 1, 1), step, lambda done: F.array_join(done, "\n\n")))
+    return run(col(parts))
 
 
 def version_marks(blocks: DataFrame, keys: list[str], order: str = "order", text: str = "raw_text", version: str = "version_id") -> DataFrame:
@@ -138,8 +123,30 @@ def page_ir(segments: DataFrame, keys: list[str]) -> DataFrame:
 
 def polish(drafts: DataFrame, keys: list[str], model: Callable[[str], str], text: str = "draft") -> DataFrame:
     """(keys, draft): each stretch between version marks through a model, marks put back in their places."""
-    cut = r"(<<<nup:(?:v\d+|zh|en|[A-Za-z0-9_\-]+)>>>)"
-    pieces = drafts.select(*keys, F.posexplode(F.split(F.regexp_replace(text, cut, "\ue003$1\ue003"), "\ue003")).alias("pos", "piece")).where(strip("piece") != "")
-    said = pieces.withColumn("said", F.when(F.col("piece").rlike(rf"\A{cut}\z"), F.col("piece")).otherwise(latex.text_udf(model)("piece")))
+    said = stretches(drafts, keys, text).withColumn("said", F.when(F.col("mark"), F.col("piece")).otherwise(latex.text_udf(model)("piece")))
     found = said.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", strip("said").alias("t")))).alias("x"))
     return found.select(*keys, F.array_join(F.transform("x", lambda x: x["t"]), "\n\n").alias("draft"))
+
+
+def stretches(drafts: DataFrame, keys: list[str], text: str = "draft") -> DataFrame:
+    """(keys, pos, piece, mark): a draft's version marks and what stands between them, blank stretches left out."""
+    cut = r"(<<<nup:[\w\-]+>>>)"
+    pieces = drafts.select(*keys, F.posexplode(F.split(F.regexp_replace(text, cut, "\ue003$1\ue003"), "\ue003")).alias("pos", "piece")).where(strip("piece") != "")
+    return pieces.withColumn("mark", F.col("piece").rlike(rf"\A{cut}\z"))
+
+
+def polish_documents(drafts: DataFrame, keys: list[str], model: Callable[[str], str], text: str = "draft") -> DataFrame:
+    """(keys, txt, tex, warnings): drafts through a model whose replies hold a text and a LaTeX document. Each stretch between
+    version marks is a call of its own, marks stay in their places, and the bodies of all make one document. A reply
+    that can't be read leaves its draft, with a warning; so does a document cut short."""
+    said = stretches(drafts, keys, text).withColumn("piece", strip("piece")).withColumn("reply", latex.text_udf(model)(F.when(~F.col("mark"), F.col("piece"))))
+    p = said.withColumn("p", F.when(~F.col("mark"), parse_polish("reply", "piece")))
+    p = p.withColumn("txt", F.when(F.col("mark"), F.col("piece")).otherwise(strip_model_junk("p.txt"))).withColumn("tex", latex.sanitize_tex("p.tex"))
+    short = F.contains("tex", F.lit("\\documentclass")) & ~F.contains("tex", F.lit("\\end{document}"))
+    p = p.withColumn("warnings", F.array_compact(F.array(F.col("p.warning"), F.when(short, "polish truncated; draft kept"))))
+    p = p.withColumn("body", F.when(F.col("mark"), F.col("piece")).otherwise(F.coalesce(truthy(document_body("tex")), strip("txt"))))
+    found = p.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "mark", strip("txt").alias("txt"), "tex", "body", "warnings"))).alias("x"))
+    join = lambda c: F.array_join(F.transform("x", lambda y: y[c]), "\n\n")
+    alone = ~F.exists("x", lambda y: y["mark"])
+    whole = F.when(alone, F.get("x", F.lit(0))["tex"]).otherwise(latex.sanitize_tex(wrap_document(join("body"))))
+    return found.select(*keys, join("txt").alias("txt"), whole.alias("tex"), F.flatten(F.transform("x", lambda y: y["warnings"])).alias("warnings"))

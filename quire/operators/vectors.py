@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.latex import text_udf
@@ -14,6 +16,7 @@ from ..functions.text import col, normal_lines, strip
 # The namespace of ids, the model, the version of the cut, and the size of vectors.
 NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"
 MODEL, VERSION, DIM, PREFIX = "nomic-ai/nomic-embed-text-v1.5", "pageir_v2", 768, "search_document: "
+POINTS = "id string, vector array<float>, doc_id string, page int, segment_id string, kind string, text string, source_path string, content_hash string, embedding_model string, chunk_version string, job_id string, crop_path string"
 
 
 def name_uuid(name: Column, namespace: str = NAMESPACE) -> Column:
@@ -94,15 +97,78 @@ def wrong_size(table: DataFrame, dim: int, vector: str = "vector") -> DataFrame:
     return table.where(F.col(vector).isNull() | (F.size(vector) != dim))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+TILE, FAN = 2048, 64  # vectors of a tile; lists merged at a time
+
+
+def tiles(rows: DataFrame, size: int = TILE) -> DataFrame:
+    """(dim, ids, data): rows (id bigint, vector array<double>) in tiles of at most size vectors of one dimension."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+
+        def out(dim: int) -> pa.RecordBatch:
+            ids, flat = zip(*held.pop(dim), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([np.array(ids, np.int64).tobytes()]), pa.array([np.concatenate(flat).tobytes()])], ["dim", "ids", "data"])
+
+        for b in parts:
+            edge, flat = b.column(1).offsets.to_numpy(), b.column(1).flatten().to_numpy()
+            base = edge[0]
+            for i, name in enumerate(b.column(0).to_pylist()):
+                dim = int(edge[i + 1] - edge[i])
+                held.setdefault(dim, []).append((name, flat[edge[i] - base : edge[i + 1] - base]))
+                if len(held[dim]) == size:
+                    yield out(dim)
+        for dim in [*held]:
+            yield out(dim)
+
+    return rows.mapInArrow(run, "dim int, ids binary, data binary")
 
 
 def top_k(queries: DataFrame, table: DataFrame, k: int, key: str = "id", vector: str = "vector") -> DataFrame:
-    """(query_id, rank, id, score): the points nearest by cosine. queries: a small, stated set."""
-    q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
-    pairs = table.join(F.broadcast(q), F.col(key) != F.col("query_id")) if queries.count() <= 1000 else table.join(q, F.col(key) != F.col("query_id"))
-    scored = pairs.select("query_id", F.col(key), cosine(F.col("_q"), F.col(vector)).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), key))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", key, "score")
+    """(query_id, rank, id, score): the k points nearest to each query by cosine, but for the query itself; ties go to
+    the smaller id. Scores are in double precision, rounded to 12 places, so that equal vectors tie.
+
+    Queries and points go in tiles; each pair of tiles is one matrix product, of which each query keeps its k best,
+    and these lists are merged in two steps. Vectors that are null, zero or hold null or non-finite numbers take no part."""
+    v = F.col(vector).cast("array<double>")
+    good = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))) & F.exists(v, lambda x: x != 0), F.lit(False))
+    rows = lambda df: df.where(F.col(key).isNotNull()).where(good).select(F.col(key).cast("bigint").alias("id"), v.alias("vector"))
+    leaves = max(1, -(-table.count() // TILE))
+    asked = tiles(rows(queries)).select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(leaves - 1))).alias("leaf"))
+    points = tiles(rows(table)).withColumn("leaf", F.pmod(F.xxhash64("ids"), F.lit(leaves)).cast("int"))
+
+    def product(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts:
+            for x in b.to_pylist():
+                own, ids = (np.frombuffer(x[c], np.int64) for c in ("q_ids", "ids"))
+                unit = [m / np.sqrt((m * m).sum(1, keepdims=True)) for m in (np.frombuffer(x[c]).reshape(-1, x["dim"]) for c in ("q_data", "data"))]
+                order = np.argsort(ids, kind="stable")
+                ids, scores = ids[order], np.round(unit[0] @ unit[1][order].T, 12)
+                scores[own[:, None] == ids[None, :]] = -np.inf
+                best = np.argsort(-scores, 1, kind="stable")[:, :k]
+                row = np.repeat(np.arange(len(own)), best.shape[1])
+                found = scores[row, best.ravel()]
+                keep = found > -np.inf
+                yield pa.RecordBatch.from_arrays([pa.array(own[row][keep]), pa.array(ids[best.ravel()][keep]), pa.array(found[keep]), pa.array(np.full(int(keep.sum()), x["leaf"], np.int32))], ["query_id", "id", "score", "leaf"])
+
+    lists = asked.join(points, ["dim", "leaf"]).mapInArrow(product, "query_id bigint, id bigint, score double, leaf int")
+    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "id"))), 1, k)
+    lists = lists.groupBy("query_id", F.floor(F.col("leaf") / FAN).alias("leaf")).agg(top.alias("x")).select("query_id", F.explode("x").alias("x")).select("query_id", "x.id", (-F.col("x.down")).alias("score"))
+    last = lists.groupBy("query_id").agg(top.alias("x")).select("query_id", F.posexplode("x").alias("at", "x"))
+    return last.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias(key), (-F.col("x.down")).alias("score"))
+
+
+def ensure_collection(spark: SparkSession, name: str, dim: int = DIM, metric: str = "cosine") -> bool:
+    """A table of points with its vector size and metric among its properties, made only if there is none of that name;
+    tells whether it was made."""
+    if spark.catalog.tableExists(name):
+        return False
+    properties = f"'dim'='{int(dim)}', 'metric'='{metric}'"
+    spark.sql(f"CREATE TABLE {name} ({POINTS}) USING parquet TBLPROPERTIES ({properties})")
+    return True
+
+
+def collection_info(spark: SparkSession, name: str) -> dict[str, str]:
+    """The vector size and the metric of a table of points."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return {k: found[k] for k in ("dim", "metric")}

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry, latex, text
-from ..operators import dataset, layout, manifest, runs, segments, vectors
+from ..operators import dataset, layout, manifest, runs, seams, segments, vectors
 from ..session import ship
+from ..sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,100 +34,155 @@ def values(table: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
     return table.sparkSession.createDataFrame(rows, schema)
 
 
-# -- documents as page drafts: whole texts with a formula, a mark note and a panel mark behind them --------
+# -- orders as pages: a page is an order, its lines are what recognizers find on pages -----------------------
 
-DRAFT = r"'<<<nup:v' || (doc_id % 2) || '>>>' || chr(10) || text || chr(10) || '$x_' || doc_id || '=' || (doc_id % 7) || '$' || chr(10) || (doc_id % 3 + 1) || 'M+1A'"
+#: A line of text for each line of an order, by its place: prose with a panel mark before it, a formula, a mark
+#: note, prose with a formula in it, a misread formula, an answer option and its body.
+LINE = r"""CASE rn % 7 WHEN 1 THEN '<<<nup:v' || (page % 2) || '>>>' || chr(10) || 'Order ' || page || ' goes on here with a line too long for any option before it'
+    WHEN 2 THEN '$q_' || p || '=' || s || '$' WHEN 3 THEN (s % 4 + 1) || 'M+1A' WHEN 4 THEN '設 $x=' || p || '$' WHEN 5 THEN '\feac{1}{' || p || '}=y' WHEN 6 THEN 'B.' ELSE '-' || p END"""
+PLACED = "SELECT l_orderkey AS page, l_partkey AS p, l_suppkey AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem"
+ORDERS = f"o AS (SELECT *, {LINE} AS line FROM ({PLACED}))"
 
 
-def drafts(t) -> DataFrame:
-    return t("documents").select("doc_id", (F.col("doc_id") % 5).cast("int").alias("page_index"), F.expr(DRAFT).alias("draft"))
+def order_lines(t) -> DataFrame:
+    by = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    placed = t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), F.row_number().over(by).alias("rn"))
+    return placed.withColumn("line", F.expr(LINE.replace("'\\feac", "r'\\feac")))
 
 
-LINES = f"l AS (SELECT doc_id, unnest(string_split(d, chr(10))) AS line, generate_subscripts(string_split(d, chr(10)), 1) AS line_no FROM (SELECT doc_id, {DRAFT} AS d FROM documents))"
+def order_drafts(t) -> DataFrame:
+    """Pages of documents of up to eight pages."""
+    found = order_lines(t).groupBy("page").agg(F.array_sort(F.collect_list(F.struct("rn", "line"))).alias("x"))
+    return found.select(F.floor(F.col("page") / 8).alias("doc_id"), F.col("page").alias("page_index"), F.array_join(F.transform("x", lambda x: x["line"]), "\n").alias("draft"))
 
 
-def draft_lines(t) -> DataFrame:
-    found = drafts(t).select("doc_id", F.posexplode(text.lines("draft")).alias("i", "line"))
-    return found.select("doc_id", (F.col("i") + 1).cast("bigint").alias("line_no"), "line")
+#: What the segments of such pages have to be.
+SEGMENTS = ORDERS + r""", n AS (SELECT *, lead(p) OVER (PARTITION BY page ORDER BY rn) AS np FROM o),
+    g AS (SELECT page, rn, 0 AS sub, CASE rn % 7 WHEN 1 THEN 'prose' WHEN 3 THEN 'mark_note' WHEN 4 THEN 'prose' WHEN 6 THEN 'prose' ELSE 'math' END AS kind,
+            CASE rn % 7 WHEN 1 THEN string_split(line, chr(10))[2] WHEN 2 THEN 'q_' || p || '=' || s WHEN 3 THEN line WHEN 4 THEN '設' WHEN 5 THEN '\frac{1}{' || p || '}=y' ELSE 'B.' || coalesce(' -' || np, '') END AS text,
+            CASE WHEN rn % 7 = 5 THEN 'repaired' ELSE 'ok' END AS integrity FROM n WHERE rn % 7 <> 0
+          UNION ALL SELECT page, rn, 1, 'math', 'x=' || p, 'ok' FROM n WHERE rn % 7 = 4),
+    z AS (SELECT page // 8 AS doc_id, page, row_number() OVER (PARTITION BY page ORDER BY rn, sub) - 1 AS pos, kind, text, integrity, 'v' || (page % 2) AS version_id FROM g),
+    r AS (SELECT *, CASE kind WHEN 'math' THEN '$' || text || '$' WHEN 'mark_note' THEN '(分註: ' || text || ')' ELSE text END AS shown FROM z)"""
 
 
-@query(f"WITH {LINES} SELECT doc_id, line_no::BIGINT AS line_no, line FROM l")
-def lines_explode(t):
-    return draft_lines(t)
+def order_segments(t) -> DataFrame:
+    return segments.check_segments(segments.segment(order_drafts(t), ["doc_id"]))
 
 
-KIND = r"CASE WHEN regexp_full_match(s, '(?i)\d+\s*[MA](\s*\+\s*\d+\s*[MA])*') THEN 'mark_note' WHEN s LIKE '%=%' OR s LIKE '%^%' OR s LIKE '%\_%' ESCAPE '\' THEN 'math' ELSE 'prose' END"
+@query(f"WITH {SEGMENTS} SELECT page AS page_index, pos::INT AS pos, kind, text, integrity, version_id, 'p' || page || '_stitched' AS source_block_id FROM z")
+def q_segments(t):
+    return order_segments(t).select("page_index", "pos", "kind", "text", "integrity", "version_id", "source_block_id")
 
 
-@query(rf"""WITH {LINES}, s AS (SELECT doc_id, line_no, trim(line, ' ') AS s FROM l)
-    SELECT doc_id, {KIND} AS kind, count(*) AS n, sum(length(s))::BIGINT AS chars FROM s
-    WHERE s <> '' AND NOT regexp_full_match(s, '<<<nup:(v\d+|zh|en|[A-Za-z0-9_\-]+)>>>') AND NOT regexp_matches(s, '將圖片.*轉換') GROUP BY ALL""")
+@query(f"WITH {SEGMENTS} SELECT kind, integrity, version_id, count(*) AS n, sum(length(text))::BIGINT AS chars FROM z GROUP BY ALL")
 def line_kinds(t):
-    s = draft_lines(t).withColumn("s", text.strip("line")).where("s <> ''").where(~text.full("s", r"<<<nup:(v\d+|zh|en|[A-Za-z0-9_\-]+)>>>") & ~F.col("s").rlike("將圖片.*轉換"))
-    math = F.col("s").rlike(r"[=^_]|\\(?:le|ge|ne|approx)\b")
-    kind = F.when(text.full("s", r"\d+\s*[MA](?:\s*\+\s*\d+\s*[MA])*", "iU"), "mark_note").when(math, "math").otherwise("prose")
-    return s.groupBy("doc_id", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("s")).alias("chars"))
-
-
-@query()
-def q_segments(t):
-    found = segments.check_segments(segments.segment(drafts(t), ["doc_id"]))
-    return found.groupBy("page_index", "kind", "integrity", "version_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    return order_segments(t).groupBy("kind", "integrity", "version_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
-@query()
+@query(f"WITH {SEGMENTS}, t AS (SELECT doc_id, page, string_agg(shown, chr(10) ORDER BY pos) AS t FROM r GROUP BY ALL) SELECT doc_id, string_agg(t, chr(10) || chr(10) ORDER BY page) AS text FROM t GROUP BY 1")
 def render_documents(t):
-    found = segments.check_segments(segments.segment(drafts(t), ["doc_id"]))
-    return segments.render_documents(found, ["doc_id"])
+    return segments.render_documents(order_segments(t), ["doc_id"])
 
 
-@query()
+@query(f"""WITH {SEGMENTS}, j AS (SELECT *, '{{"kind":"' || kind || '","text":"' || replace(text, '\\', '\\\\') || '","source_block_id":"p' || page || '_stitched","integrity":"' || integrity || '","version_id":"' || version_id || '"}}' AS j FROM z),
+    u AS (SELECT doc_id, page, '{{"page_index":' || page || ',"segments":[' || string_agg(j, ',' ORDER BY pos) || ']}}' AS pj FROM j GROUP BY doc_id, page)
+    SELECT doc_id, '{{"pages":[' || string_agg(pj, ',' ORDER BY page) || ']}}' AS page_ir FROM u GROUP BY doc_id""".replace("'\\', '\\\\'", r"'\', '\\'"))
 def page_ir(t):
-    return segments.page_ir(segments.check_segments(segments.segment(drafts(t), ["doc_id"])), ["doc_id"])
+    return segments.page_ir(order_segments(t), ["doc_id"])
+
+
+@query(f"WITH {ORDERS}, l AS (SELECT page, rn, unnest(string_split(line, chr(10))) AS line, generate_subscripts(string_split(line, chr(10)), 1) AS i FROM o) SELECT page, row_number() OVER (PARTITION BY page ORDER BY rn, i) - 1 AS pos, line FROM l")
+def lines_explode(t):
+    return order_drafts(t).select(F.col("page_index").alias("page"), F.posexplode(segments.linear_lines("draft")).alias("pos", "line")).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("WITH c AS (SELECT p_partkey, unnest(['Part ' || p_partkey, 'size ' || p_size, 'b', 'c ' || p_partkey, 'd', 'e', 'f']) AS cell, generate_subscripts(range(7), 1) - 1 AS pos FROM part) SELECT p_partkey, pos, cell FROM c")
+def table_cells(t):
+    """Cells of a Markdown row with a break, of a LaTeX row, and of list items, without the markup around them."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    table = F.concat(F.lit("\\begin{table}[h]\n| Part "), key, F.lit(" | size "), size, F.lit("<br/>b |\n| --- | :---: |\n\\end{table}\\begin{tabular}{|c|c|}\\hline c "), key, F.lit(" & d \\\\ \\end{tabular}\n\\begin{itemize}\n\\item[1] e\n\\item f\n\\end{itemize}"))
+    return t("part").select("p_partkey", F.posexplode(segments.linear_lines(table)).alias("pos", "cell")).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+#: Blocks glued: an option and its body on one line, all else parted by blank lines, one mark at a page's begin.
+GLUED = ORDERS + """, n AS (SELECT *, CASE WHEN rn % 7 = 1 THEN string_split(line, chr(10))[2] ELSE line END AS said, lead(line) OVER (PARTITION BY page ORDER BY rn) AS after FROM o)
+    SELECT page, '<<<nup:v' || (page % 2) || '>>>' || chr(10) || chr(10) || string_agg(CASE WHEN rn % 7 = 6 THEN said || coalesce(' ' || after, '') ELSE said END, chr(10) || chr(10) ORDER BY rn) AS draft FROM n WHERE rn % 7 <> 0 GROUP BY page"""
+
 
+@query(f"WITH {GLUED}")
+def stitch_pages(t):
+    said = F.when(F.col("rn") % 7 == 1, F.get(F.split("line", "\n"), F.lit(1))).otherwise(F.col("line"))
+    blocks = order_lines(t).select("page", F.col("rn").alias("order"), said.alias("raw_text"), F.concat(F.lit("v"), (F.col("page") % 2).cast("string")).alias("version_id"))
+    return segments.stitch(blocks, ["page"])
+
+
+@query(f"WITH {ORDERS} SELECT page // 8 AS doc_id, page AS page_index, string_agg(CASE WHEN rn % 7 = 1 THEN split_part(line, chr(10), 1) || chr(10) || chr(10) || upper(split_part(line, chr(10), 2)) ELSE upper(line) END, CASE WHEN true THEN chr(10) END ORDER BY rn) AS draft FROM o WHERE rn <= 7 GROUP BY ALL")
+def polish_chunks(t):
+    """Drafts of an order's first lines through a model that writes capitals; marks stay where they are."""
+    first = order_lines(t).where("rn <= 7").groupBy("page").agg(F.array_sort(F.collect_list(F.struct("rn", "line"))).alias("x"))
+    found = first.select(F.floor(F.col("page") / 8).alias("doc_id"), F.col("page").alias("page_index"), F.array_join(F.transform("x", lambda x: x["line"]), "\n").alias("draft"))
+    return segments.polish(found, ["doc_id", "page_index"], str.upper)
+
+
+@query(r"""SELECT p_partkey, '\documentclass{a}' || chr(10) || '\usepackage{x}' || chr(10) || CASE WHEN p_size % 2 = 0 THEN '\usepackage{longtable,array}' || chr(10) ELSE '' END || '\begin{document}' || chr(10) || 'Part ' || p_partkey || chr(10) || chr(10) || '$\frac{' || p_partkey || '}{b}$ $$' || chr(10) || 'x^{2}' || chr(10) || '$$ '
+        || CASE WHEN p_size % 2 = 0 THEN '\begin{longtable}' ELSE '\begin{tabular}' END || '{c}$y_{1}$\\{p；q}' || CASE WHEN p_size % 2 = 0 THEN '\end{longtable}' ELSE '\end{tabular}' END
+        || CASE WHEN p_partkey % 3 = 0 THEN ' costs $5' || chr(10) || '% TODO: verify unpaired dollar' ELSE '' END || chr(10) || '\end{document}' AS tex FROM part""")
+def sanitize_tex(t):
+    key, even = F.col("p_partkey").cast("string"), F.col("p_size") % 2 == 0
+    env = F.when(even, "longtable").otherwise("tabular")
+    tex = F.concat(F.lit("<|im_start|>\\documentclass{a}\n\\usepackage{x}\n\\begin{document}\nPart "), key, F.lit("<br>$"), key, F.lit("/b$ $$x²$$ \\begin{"), env, F.lit("}{c}$$y₁$$<BR />{p \\\\ q}\\end{"), env, F.lit("}"), F.when(F.col("p_partkey") % 3 == 0, " costs $5\n").otherwise("\n"), F.lit("\\end{document}</box>"))
+    return t("part").select("p_partkey", latex.sanitize_tex(tex).alias("tex"))
+
+
+@query(r"""WITH f AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN '\feac{1}{' || p_partkey || '}' WHEN 1 THEN '\frac{a}{b}\\ ' || p_name WHEN 2 THEN 'x=1分' WHEN 3 THEN '1M' WHEN 4 THEN '\hline x' WHEN 5 THEN '\dfrac {a}{b \\ ' || p_partkey || '}' ELSE p_name END AS body FROM part)
+    SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'repaired' WHEN 6 THEN 'ok' ELSE 'fail' END AS status, replace(body, '\feac', '\frac') AS body,
+        CASE p_partkey % 7 WHEN 0 THEN 'repaired typo \feac -> \frac' WHEN 1 THEN '\\\\ near frac (mid-formula break)' WHEN 2 THEN 'CJK fen in math body' WHEN 3 THEN 'bare 1M/1A pattern in math body' WHEN 4 THEN 'tabular/table chrome in math body' WHEN 5 THEN '\\\\ inside frac/dfrac/tfrac argument' ELSE '' END AS warnings FROM f""")
+def integrity_status(t):
+    body = F.expr(r"CASE p_partkey % 7 WHEN 0 THEN concat(r'\feac{1}{', p_partkey, '}') WHEN 1 THEN concat(r'\frac{a}{b}\\ ', p_name) WHEN 2 THEN 'x=1分' WHEN 3 THEN '1M' WHEN 4 THEN r'\hline x' WHEN 5 THEN concat(r'\dfrac {a}{b \\ ', p_partkey, '}') ELSE p_name END")
+    return t("part").select("p_partkey", latex.integrity(body).alias("c")).select("p_partkey", "c.status", "c.body", F.array_join("c.warnings", "; ").alias("warnings"))
+
+
+@query(r"""SELECT p_partkey, '\frac{' || p_partkey || ' + b}{c} - d = x^{2} \frac{7}{' || p_size || '}' AS t FROM part""")
+def slash_fractions(t):
+    body = F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" + b / c - d = x² 7/"), F.col("p_size").cast("string"))
+    return t("part").select("p_partkey", latex.text_udf(latex.fix_math)(body).alias("t"))
+
+
+# -- documents as page drafts: whole texts with a formula, a mark note and a panel mark behind them --------
+
+DRAFT = r"'<<<nup:v' || (doc_id % 2) || '>>>' || chr(10) || text || chr(10) || '$x_' || doc_id || '=' || (doc_id % 7) || '$' || chr(10) || (doc_id % 3 + 1) || 'M+1A'"
+
+
+def drafts(t) -> DataFrame:
+    return t("documents").select("doc_id", (F.col("doc_id") % 5).cast("int").alias("page_index"), F.expr(DRAFT).alias("draft"))
 
-@query(rf"SELECT doc_id, len(m) AS n_spans, array_to_string(m, chr(10)) AS spans FROM (SELECT doc_id, regexp_extract_all(d, '\$([^$]+)\$', 1) AS m FROM (SELECT doc_id, {DRAFT} AS d FROM documents))")
-def math_spans(t):
-    m = F.regexp_extract_all("draft", F.lit(r"\$([^$]+)\$"), F.lit(1))
-    return drafts(t).select("doc_id", F.size(m).cast("bigint").alias("n_spans"), F.array_join(m, "\n").alias("spans"))
+
+LINES = f"l AS (SELECT doc_id, unnest(string_split(d, chr(10))) AS line, generate_subscripts(string_split(d, chr(10)), 1) AS line_no FROM (SELECT doc_id, {DRAFT} AS d FROM documents))"
+
+
+def draft_lines(t) -> DataFrame:
+    found = drafts(t).select("doc_id", F.posexplode(text.lines("draft")).alias("i", "line"))
+    return found.select("doc_id", (F.col("i") + 1).cast("bigint").alias("line_no"), "line")
 
 
-@query(rf"""WITH {LINES}, v AS (SELECT *, regexp_extract(line, '^<<<nup:(.*)>>>$', 1) AS m FROM l)
-    SELECT doc_id, line_no::BIGINT AS line_no, last_value(nullif(m, '') IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS version_id FROM v QUALIFY m = ''""")
-def version_ffill(t):
-    rows = draft_lines(t).withColumn("m", F.regexp_extract("line", "^<<<nup:(.*)>>>$", 1))
-    w = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("version_id", F.last(F.nullif("m", F.lit("")), ignorenulls=True).over(w)).where("m = ''").select("doc_id", "line_no", "version_id")
+KIND = r"CASE WHEN regexp_full_match(s, '(?i)\d+\s*[MA](\s*\+\s*\d+\s*[MA])*') THEN 'mark_note' WHEN s LIKE '%=%' OR s LIKE '%^%' OR s LIKE '%\_%' ESCAPE '\' THEN 'math' ELSE 'prose' END"
 
 
 def blocks_of_lines(t) -> DataFrame:
-    return draft_lines(t).where("not startswith(line, '<<<')").select((F.col("doc_id") % 40).alias("page"), (F.col("doc_id") * 100000 + F.col("line_no")).alias("order"), F.col("line").alias("raw_text"), F.concat(F.lit("v"), (F.col("doc_id") % 3).cast("string")).alias("version_id"))
+    return draft_lines(t).where("not startswith(line, '<<<')").select(F.floor(F.col("doc_id") / 4).alias("page"), (F.col("doc_id") * 100000 + F.col("line_no")).alias("order"), F.col("line").alias("raw_text"), F.concat(F.lit("v"), (F.col("doc_id") % 3).cast("string")).alias("version_id"))
 
 
-@query(rf"""WITH {LINES}, b AS (SELECT doc_id % 40 AS page, doc_id * 100000 + line_no AS "order", trim(line, ' ') AS s, 'v' || (doc_id % 3) AS v FROM l WHERE NOT starts_with(line, '<<<')),
+@query(rf"""WITH {LINES}, b AS (SELECT doc_id // 4 AS page, doc_id * 100000 + line_no AS "order", trim(line, ' ') AS s, 'v' || (doc_id % 3) AS v FROM l WHERE NOT starts_with(line, '<<<')),
     c AS (SELECT *, lag(v) OVER (PARTITION BY page ORDER BY "order") AS before FROM b WHERE s <> '')
     SELECT page, "order", CASE WHEN before IS DISTINCT FROM v THEN '<<<nup:' || v || '>>>' END AS mark, length(s) AS chars FROM c""")
 def version_marks(t):
     return segments.version_marks(blocks_of_lines(t), ["page"]).select("page", "order", "mark", F.length("raw_text").cast("bigint").alias("chars"))
 
 
-@query()
-def stitch_pages(t):
-    return segments.stitch(blocks_of_lines(t), ["page"])
-
-
-@query(f"SELECT doc_id % 50 AS grp, string_agg({DRAFT}, chr(10) || chr(10) ORDER BY doc_id) AS draft FROM documents GROUP BY 1")
+@query(f"SELECT doc_id // 4 AS grp, string_agg({DRAFT}, chr(10) || chr(10) ORDER BY doc_id) AS draft FROM documents GROUP BY 1")
 def document_drafts(t):
-    return segments.document_draft(drafts(t).select((F.col("doc_id") % 50).alias("grp"), F.col("doc_id").alias("page_index"), "draft"), ["grp"])
-
-
-@query(r"""WITH f AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '\feac{1}{' || doc_id || '}' WHEN 1 THEN '\frac{a}{b}\\ ' || text WHEN 2 THEN 'x=1分' WHEN 3 THEN '1M' WHEN 4 THEN '\hline x' ELSE text END AS body FROM documents),
-    r AS (SELECT *, replace(replace(replace(body, '\feac', '\frac'), '\fraq', '\frac'), '\tims', '\times') AS b FROM f)
-    SELECT doc_id, CASE WHEN (contains(b, '\\') AND regexp_matches(b, '\\[dt]?frac')) OR contains(b, '分') OR regexp_matches(b, '(^|[^A-Za-z0-9])1[MA]($|[^A-Za-z0-9])')
-        OR regexp_matches(b, '(?i)\\(begin|end)\{(table\*?|tabular\*?|longtable)\}|\\hline\b') THEN 'fail' WHEN b <> body THEN 'repaired' ELSE 'ok' END AS status, length(b) AS chars FROM r""")
-def integrity_status(t):
-    body = F.expr(r"CASE doc_id % 6 WHEN 0 THEN concat(r'\feac{1}{', doc_id, '}') WHEN 1 THEN concat(r'\frac{a}{b}\\ ', text) WHEN 2 THEN 'x=1分' WHEN 3 THEN '1M' WHEN 4 THEN r'\hline x' ELSE text END")
-    return t("documents").select("doc_id", latex.integrity(body).alias("c")).select("doc_id", "c.status", F.length("c.body").cast("bigint").alias("chars"))
+    return segments.document_draft(drafts(t).select(F.floor(F.col("doc_id") / 4).alias("grp"), F.col("doc_id").alias("page_index"), "draft"), ["grp"])
 
 
 # -- boxes: order lines of a part as blocks of a page ------------------------------------------------------
@@ -193,21 +249,9 @@ def panel_remap(t):
     return boxes(t).select("id", b.alias("b")).select("id", "b.*")
 
 
-@query()
-def split_scores(t):
-    ink = t("lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", (F.col("l_quantity") / 50).alias("v")))).alias("x"))
-    return ink.select("l_partkey", geometry.split_of(F.transform("x", lambda x: x["v"])).alias("s")).select("l_partkey", F.round("s.score", 6).alias("score"), F.round("s.split", 6).alias("split"))
-
-
 # -- text functions ----------------------------------------------------------------------------------------
 
 
-@query(r"SELECT page_id, len(x)::BIGINT AS n_lines, array_to_string(x, '|') AS lines FROM (SELECT page_id, string_split_regex(html, '(?i)<br\s*/?>') AS x FROM pages)")
-def br_lines(t):
-    x = F.split("html", r"(?i)<br\s*/?>", -1)
-    return t("pages").select("page_id", F.size(x).cast("bigint").alias("n_lines"), F.array_join(x, "|").alias("lines"))
-
-
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(d, '(?s)\\\((.+?)\\\)', '$\1$', 'g'), '(?s)\\\[(.+?)\\\]', '$$\1$$', 'g') AS t FROM (SELECT doc_id, text || ' \(x_' || doc_id || '\) \[y\]' AS d FROM documents)")
 def dollar_math(t):
     return t("documents").select("doc_id", text.dollar_math(F.concat("text", F.lit(r" \(x_"), "doc_id", F.lit(r"\) \[y\]"))).alias("t"))
@@ -218,31 +262,6 @@ def model_junk(t):
     return t("documents").select("doc_id", text.strip_model_junk(F.concat(F.lit("<|im_end|> <BOX>"), "text", F.lit("</box> "))).alias("t"))
 
 
-@query(r"SELECT doc_id, regexp_replace(replace(text, '$', ''), '([&%#_{}])', '\\\1', 'g') || ' $a_b$ 5\%' AS t FROM documents WHERE NOT regexp_matches(text, '[\\~^]')")
-def latex_escape(t):
-    plain = t("documents").where(~F.col("text").rlike(r"[\\~^]"))
-    return plain.select("doc_id", text.escape_outside_math(F.concat(F.replace("text", F.lit("$"), F.lit("")), F.lit(" $a_b$ 5%"))).alias("t"))
-
-
-@query(r"SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN trim(text, ' ' || chr(10)) ELSE trim('<<<TXT ' || text, ' ' || chr(10)) END AS txt, doc_id % 2 = 1 AS warned FROM documents WHERE NOT contains(text, '<<<')")
-def polish_parse(t):
-    reply = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<<<TXT>>>\n"), "text", F.lit("\n<<<TEX>>>\n\\documentclass{x}"))).otherwise(F.col("text"))
-    p = text.parse_polish(reply, F.concat(F.lit("<<<TXT "), "text"))
-    return t("documents").where(~F.contains("text", F.lit("<<<"))).select("doc_id", p.alias("p")).select("doc_id", text.strip("p.txt").alias("txt"), F.col("p.warning").isNotNull().alias("warned"))
-
-
-@query()
-def sanitize_tex(t):
-    tex = F.concat(F.lit("\\documentclass{a}\n\\begin{document}\n"), "text", F.lit("<br>$a/b$ \\begin{tabular}{c}$$x²$$<br>{p\\\\q}\\end{tabular}\n\\end{document}"))
-    return t("documents").select("doc_id", F.sha2(latex.sanitize_tex(tex), 256).alias("tex_sha256"))
-
-
-@query(r"SELECT doc_id, sha256(array_to_string(list_transform(string_split(replace(d, chr(13) || chr(10), chr(10)), chr(10)), lambda x: rtrim(x, ' ' || chr(9))), chr(10)) || chr(10)) AS content_hash FROM (SELECT doc_id, replace(text, chr(10), '  ' || chr(13) || chr(10)) AS d FROM documents)")
-def content_hash(t):
-    d = F.replace("text", F.lit("\n"), F.lit("  \r\n"))
-    return t("documents").select("doc_id", vectors.content_hash(d, nfkc=False).alias("content_hash"))
-
-
 @query(rf"""WITH {LINES}, h AS (SELECT doc_id, line_no, sha1(from_hex('{vectors.NAMESPACE}') || encode(concat_ws('|', doc_id, 0, 'p0_s' || line_no, '{vectors.MODEL}', '{vectors.VERSION}'))) AS h FROM l)
     SELECT doc_id, line_no::BIGINT AS line_no, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab89ab89ab89ab', ('0x' || h[17])::INT + 1, 1) || h[18:20] || '-' || h[21:32] AS id FROM h""")
 def point_ids(t):
@@ -286,24 +305,11 @@ def status_counts(t):
     return dataset.status_counts(chat(t))
 
 
-@query(f"""WITH {CHAT} SELECT row_no, CASE WHEN n < 2 THEN 1 ELSE (NOT has_user OR NOT has_assistant)::INT + n_blank END::BIGINT AS n_errors FROM s""")
-def chat_validate(t):
-    rows = chat(t)
-    found = dataset.all_errors(rows).groupBy("row_no").agg(F.count(F.lit(1)).alias("n_errors"))
-    return rows.select("row_no").join(found, "row_no", "left").select("row_no", F.coalesce("n_errors", F.lit(0)).cast("bigint").alias("n_errors"))
-
-
 @query(f"WITH {CHAT} SELECT row_no, disposition FROM d")
 def promote_disposition(t):
     return dataset.disposition(chat(t)).select("row_no", "disposition")
 
 
-@query(f"""WITH {CHAT} SELECT count(*) AS n_messages, sum(length(CASE WHEN c.role = 'system' AND conv_id % 7 <> 0 THEN '{dataset.SYSTEM}' ELSE content END))::BIGINT AS chars, c.role FROM c JOIN d ON row_no = conv_id WHERE disposition = 'promoted' GROUP BY c.role""")
-def train_rows(t):
-    m = dataset.promote(chat(t))["train"].select(F.explode("messages").alias("m"))
-    return m.groupBy("m.role").agg(F.count(F.lit(1)).alias("n_messages"), F.sum(F.length("m.content")).alias("chars"))
-
-
 @query(f"WITH {CHAT} SELECT row_no, status FROM d WHERE disposition = 'rejected'")
 def rejected_rows(t):
     return dataset.promote(chat(t))["rejected"].select("row_no", text.strip("status").alias("status"))
@@ -339,11 +345,6 @@ def parse_qid(t):
     return chat(t).select("row_no", dataset.parse_question_id("source.question_id").alias("q")).select("row_no", "q.main", "q.sub")
 
 
-@query()
-def merge_subparts(t):
-    return dataset.merge_subparts(chat(t))
-
-
 # -- jobs, points and runs ---------------------------------------------------------------------------------
 
 
@@ -409,11 +410,11 @@ def vector_dim_check(t):
     return vectors.wrong_size(t("embeddings"), 64, "embedding").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS s FROM embeddings q, embeddings e WHERE q.label = 0 AND q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id)
+@query("""WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS s FROM embeddings q, embeddings e WHERE q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id)
     SELECT query_id, rank::INT AS rank, id, round(s, 5) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM s) WHERE rank <= 5""")
 def vector_topk(t):
     e = t("embeddings").withColumnRenamed("vec_id", "id")
-    return vectors.top_k(e.where("label = 0 and id % 20 = 0"), e, 5, "id", "embedding").withColumn("score", F.round("score", 5))
+    return vectors.top_k(e.where("id % 20 = 0"), e, 5, "id", "embedding").withColumn("score", F.round("score", 5))
 
 
 @query("""SELECT doc_id, 0 AS page_index, 0 AS pos, 'prose' AS kind FROM documents UNION ALL SELECT doc_id, 0, 1, 'figure' FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 2, 0, 'figure' FROM documents WHERE doc_id % 2 = 1""")
@@ -437,15 +438,9 @@ def stage_timings(t):
     return runs.stage_seconds(rows).withColumn("seconds", F.round("seconds", 4))
 
 
-@query("SELECT event_type, count(*) FILTER (value < 10) AS failed, (count(*) FILTER (value < 10) > 0)::INT AS rc FROM events GROUP BY 1")
-def doc_batch_status(t):
-    failed = F.count_if(F.col("value") < 10)
-    return t("events").groupBy("event_type").agg(failed.alias("failed"), (failed > 0).cast("int").alias("rc"))
-
-
 @query(f"""WITH {LINES} SELECT doc_id, line_no::BIGINT AS line_no, substr('[demo] ' || line, 1, 500) AS text FROM l WHERE line_no <= 8""")
 def demo_slice(t):
-    from ..sources.sinks import demo_slice as cut
+    cut = sinks.demo_slice
 
     rows = draft_lines(t).select("doc_id", F.lit(3).alias("page_index"), (F.col("line_no") - 1).alias("pos"), F.col("line").alias("text"))
     return cut(rows, ["doc_id"]).select("doc_id", (F.col("pos") + 1).alias("line_no"), "text")
@@ -471,39 +466,6 @@ def page_text(t):
 # -- names, replies and sizes ------------------------------------------------------------------------------
 
 
-@query(r"SELECT page_id, coalesce(TRY_CAST(regexp_extract(string_split(url, '/')[-1], '(\d+)', 1) AS INT), 0) AS page FROM pages WHERE NOT contains(string_split(url, '/')[-1], '.')")
-def page_numbers(t):
-    plain = t("pages").where(~F.contains(F.substring_index("url", "/", -1), F.lit(".")))
-    return plain.select("page_id", layout.page_number("url").alias("page"))
-
-
-@query(r"SELECT page_id, coalesce(nullif(trim(regexp_replace(string_split(url, '/')[-1], '[^A-Za-z0-9_\-]+', '_', 'g'), '_'), ''), 'pdf') AS stem FROM pages WHERE NOT contains(string_split(url, '/')[-1], '.') AND regexp_full_match(url, '[\x00-\x7f]*')")
-def safe_stems(t):
-    plain = t("pages").where(~F.contains(F.substring_index("url", "/", -1), F.lit(".")) & F.col("url").rlike(r"\A[\x00-\x7f]*\z"))
-    return plain.select("page_id", text.safe_stem("url").alias("stem"))
-
-
-@query(r"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN trim(text, ' ' || chr(10)) WHEN 1 THEN trim(text, ' ' || chr(10)) ELSE '$$' || chr(10) || doc_id || chr(10) || '$$' END AS t FROM documents WHERE NOT contains(text, '`') AND NOT regexp_matches(text, '(?i)^\s*assistant')")
-def replies(t):
-    fence = F.concat(F.lit("```latex\n"), "text", F.lit("\n```"))
-    said = F.when(F.col("doc_id") % 3 == 0, text.clean_reply(fence)).when(F.col("doc_id") % 3 == 1, text.clean_reply(F.concat(F.lit("Assistant： "), "text"))).otherwise(text.display_math(F.concat(F.lit("$ "), F.col("doc_id").cast("string"), F.lit("$"))))
-    rows = t("documents").where(~F.contains("text", F.lit("`")) & ~F.col("text").rlike(r"(?i)^\s*assistant"))
-    return rows.select("doc_id", said.alias("t"))
-
-
-@query(r"SELECT doc_id, trim(text, ' ' || chr(10)) AS body FROM documents WHERE NOT contains(text, '\')")
-def document_bodies(t):
-    rows = t("documents").where(~F.contains("text", F.lit("\\")))
-    return rows.select("doc_id", text.document_body(text.wrap_document("text")).alias("body"))
-
-
-@query(r"""SELECT doc_id, sha256('% Auto OCR export: d' || doc_id || chr(10) || '\documentclass[12pt]{article}' || chr(10) || '\usepackage[utf8]{inputenc}' || chr(10) || '\usepackage{amsmath,amssymb}' || chr(10) || '\usepackage{geometry}' || chr(10) || '\geometry{margin=2.2cm}'
-    || chr(10) || '\begin{document}' || chr(10) || chr(10) || regexp_replace(regexp_replace(trim(text, ' ' || chr(10)), '([&%#_{}])', '\\\1', 'g'), '\n{3,}', chr(10) || chr(10), 'g') || chr(10) || chr(10) || '\end{document}' || chr(10)) AS tex_sha256 FROM documents WHERE NOT regexp_matches(text, '[\\~^$]')""")
-def latex_documents(t):
-    rows = t("documents").where(~F.col("text").rlike(r"[\\~^$]"))
-    return rows.select("doc_id", F.sha2(text.latex_document("text", F.lit("en"), F.concat(F.lit("d"), F.col("doc_id").cast("string"))), 256).alias("tex_sha256"))
-
-
 @query("SELECT p_partkey, (p_size * 28 * 2)::BIGINT AS budget FROM part")
 def int_products(t):
     return t("part").select("p_partkey", text.int_product(F.concat(F.col("p_size").cast("string"), F.lit("*28 * 2")), 7).alias("budget"))
@@ -551,15 +513,6 @@ def match_images(t):
     return layout.match_images(pages, t("pages").where("page_id % 2 = 0").select(F.concat(F.lit("/new/"), name).alias("path"))).select("page_id", "image_path")
 
 
-@query(f"""WITH b AS (SELECT {BOX} FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY id % 2, id) - 1 AS o, row_number() OVER (PARTITION BY page, id % 2 ORDER BY id) - 1 AS i FROM b)
-    SELECT page, id, o::INT AS "order", printf('p%03d_v%d_b%03d', page, id % 2, i) AS block_id FROM n""")
-def merge_panels(t):
-    rows = boxes(t).withColumn("order", F.col("id")).withColumn("version_id", F.concat(F.lit("v"), (F.col("id") % 2).cast("string"))).withColumn("bbox", geometry.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
-    panel = F.get(geometry.panel_boxes(F.lit("2_lr"), F.lit(0.0), F.lit(0.5)), (F.col("id") % 2).cast("int"))["box"]
-    rows = rows.withColumn("panel", panel).withColumn("page_width", F.lit(800.0)).withColumn("page_height", F.lit(600.0))
-    return layout.merge_panels(rows, ["page"]).select("page", "id", F.col("order").cast("int").alias("order"), "block_id")
-
-
 @query("SELECT vec_id AS pos, label, vec_id % 7 AS v FROM embeddings")
 def zip_vectors(t):
     e = t("embeddings")
@@ -580,12 +533,260 @@ def language_sets(t):
     return found.join(counts, "source").select("source", F.array_join("warnings", ",").alias("langs"), "n")
 
 
-@query()
-def polish_chunks(t):
-    return segments.polish(drafts(t), ["doc_id"], str.upper)
-
-
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text || chr(10) || '% TODO: verify unpaired dollar' || chr(10) ELSE text END AS t FROM (SELECT doc_id, replace(rtrim(text, ' ' || chr(10)), '$', '') || CASE WHEN doc_id % 2 = 0 THEN ' $5' ELSE ' $5$' END AS text FROM documents)")
 def unpaired_dollars(t):
     d = F.concat(F.replace(text.rstrip("text"), F.lit("$"), F.lit("")), F.when(F.col("doc_id") % 2 == 0, " $5").otherwise(" $5$"))
     return t("documents").select("doc_id", text.mark_unpaired_dollars(d).alias("t"))
+
+
+# -- texts as they are ---------------------------------------------------------------------------------------
+
+#: Specials escaped in a text without dollar signs.
+ESCAPED = r"replace(replace(replace(regexp_replace(translate(x, '\~^', chr(57344) || chr(57345) || chr(57346)), '([&%#_{}])', '\\\1', 'g'), chr(57344), '\textbackslash{}'), chr(57345), '\textasciitilde{}'), chr(57346), '\textasciicircum{}')"
+#: A text without white space at its ends, as far as the test tables have any.
+BARE = "trim(text, ' ' || chr(9) || chr(10) || chr(13))"
+
+
+@query(rf"SELECT doc_id, {ESCAPED} || ' $a_b$ 5\%' AS t FROM (SELECT doc_id, replace(text, '$', '') || ' \~^' AS x FROM documents)")
+def latex_escape(t):
+    d = F.concat(F.replace("text", F.lit("$"), F.lit("")), F.lit(" \\~^ $a_b$ 5%"))
+    return t("documents").select("doc_id", text.escape_outside_math(d).alias("t"))
+
+
+@query(rf"""SELECT doc_id, sha256('% Auto OCR export: d' || doc_id || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '\documentclass[12pt]{{ctexart}}' || chr(10) ELSE '\documentclass[12pt]{{article}}' || chr(10) || '\usepackage[utf8]{{inputenc}}' || chr(10) END || '\usepackage{{amsmath,amssymb}}' || chr(10) || '\usepackage{{geometry}}' || chr(10) || '\geometry{{margin=2.2cm}}'
+    || chr(10) || '\begin{{document}}' || chr(10) || chr(10) || regexp_replace({ESCAPED}, '\n{{3,}}', chr(10) || chr(10), 'g') || chr(10) || chr(10) || '\end{{document}}' || chr(10)) AS tex_sha256 FROM (SELECT doc_id, replace({BARE}, '$', '') || '~' AS x FROM documents)""")
+def latex_documents(t):
+    body = F.concat(F.replace(text.strip("text"), F.lit("$"), F.lit("")), F.lit("~"))
+    return t("documents").select("doc_id", F.sha2(text.latex_document(body, F.when(F.col("doc_id") % 2 == 0, "zh").otherwise("en"), F.concat(F.lit("d"), F.col("doc_id").cast("string"))), 256).alias("tex_sha256"))
+
+
+@query(rf"""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN {BARE} WHEN 1 THEN 'a ' || doc_id ELSE 'draft ' || {BARE} END AS txt,
+        CASE doc_id % 3 WHEN 0 THEN '\documentclass{{x}}' WHEN 1 THEN '\documentclass{{x}}\begin{{document}}' || chr(10) || 'a ' || doc_id || chr(10) || '\end{{document}}' END AS tex, doc_id % 3 = 2 AS warned FROM documents""")
+def polish_parse(t):
+    """Replies with marks, with a fenced document, and with neither."""
+    key = F.col("doc_id").cast("string")
+    marked = F.concat(F.lit("<<<TXT>>>\n"), "text", F.lit("\n<<<TEX>>>\n\\documentclass{x}"))
+    fenced = F.concat(F.lit("Here it is:\n```latex\n\\documentclass{x}\\begin{document}\na "), key, F.lit("\n\\end{document}\n```\nDone."))
+    p = text.parse_polish(F.when(F.col("doc_id") % 3 == 0, marked).when(F.col("doc_id") % 3 == 1, fenced).otherwise(F.col("text")), F.concat(F.lit("draft "), text.strip("text")))
+    return t("documents").select("doc_id", p.alias("p")).select("doc_id", "p.txt", F.when(F.col("doc_id") % 3 < 2, F.col("p.tex")).alias("tex"), F.col("p.warning").isNotNull().alias("warned"))
+
+
+@query(rf"SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN {BARE} WHEN 1 THEN {BARE} WHEN 2 THEN 'ASSISTANT: ' || {BARE} ELSE '$$' || chr(10) || doc_id || chr(10) || '$$' END AS t FROM documents")
+def replies(t):
+    fence, k = F.concat(F.lit("```latex\n"), "text", F.lit("\n```")), F.col("doc_id") % 4
+    said = F.when(k == 0, text.clean_reply(fence)).when(k == 1, text.clean_reply(F.concat(F.lit("Assistant： "), "text"))).when(k == 2, text.clean_reply(F.concat(F.lit("ASSISTANT: "), text.strip("text")))).otherwise(text.display_math(F.concat(F.lit("$ "), F.col("doc_id").cast("string"), F.lit("$"))))
+    return t("documents").select("doc_id", said.alias("t"))
+
+
+@query(f"SELECT doc_id, {BARE} AS body FROM documents")
+def document_bodies(t):
+    return t("documents").select("doc_id", text.document_body(text.wrap_document("text")).alias("body"))
+
+
+#: A file name without folder and ending.
+STEM = r"regexp_replace(string_split(url, '/')[-1], '(.)\.[^.]*$', '\1')"
+
+
+@query(rf"SELECT page_id, coalesce(TRY_CAST(regexp_extract({STEM}, '(\d+)', 1) AS INT), 0) AS page FROM pages")
+def page_numbers(t):
+    return t("pages").select("page_id", layout.page_number("url").alias("page"))
+
+
+@query(rf"SELECT page_id, coalesce(nullif(trim(regexp_replace({STEM}, '[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}\-]+', '_', 'g'), '_'), ''), 'pdf') AS stem FROM pages")
+def safe_stems(t):
+    return t("pages").select("page_id", text.safe_stem("url").alias("stem"))
+
+
+@query(rf"SELECT doc_id, sha256(array_to_string(list_transform(string_split(replace(d, chr(13) || chr(10), chr(10)), chr(10)), lambda x: rtrim(x, ' ' || chr(9))), chr(10)) || chr(10)) AS content_hash FROM (SELECT doc_id, replace(replace(replace(text, chr(10), '  ' || chr(13) || chr(10)), 'a', 'A'), 'e', '1') || 'fi' AS d FROM documents)")
+def content_hash(t):
+    """The shipped hash, with NFKC: full-width letters and digits and a ligature become plain ones."""
+    d = F.concat(F.translate(F.replace("text", F.lit("\n"), F.lit("  \r\n")), "ae", "Ａ１"), F.lit("ﬁ"))
+    return t("documents").select("doc_id", vectors.content_hash(d).alias("content_hash"))
+
+
+# -- chat rows, whole values ---------------------------------------------------------------------------------
+
+
+@query(f"""WITH {CHAT}, b AS (SELECT conv_id, string_agg('; #' || conv_id || ' message[' || i || ']: content 不可為空', '' ORDER BY i) AS blank FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, content) - 1 AS i FROM c) WHERE trim(content, ' ' || chr(10)) = '' GROUP BY 1)
+    SELECT row_no, CASE WHEN n < 2 THEN '#' || row_no || ': 需要 messages 陣列，且至少含 user + assistant' ELSE ltrim(CASE WHEN NOT has_user OR NOT has_assistant THEN '; #' || row_no || ': 缺少 user 或 assistant 角色' ELSE '' END || coalesce(blank, ''), '; ') END AS errors FROM s LEFT JOIN b ON row_no = conv_id""")
+def chat_validate(t):
+    rows = chat(t)
+    found = dataset.all_errors(rows).groupBy("row_no").agg(F.array_sort(F.collect_list(F.struct("error_no", "error"))).alias("x"))
+    return rows.select("row_no").join(found, "row_no", "left").select("row_no", F.coalesce(F.array_join(F.transform("x", lambda e: e["error"]), "; "), F.lit("")).alias("errors"))
+
+
+@query(f"""WITH {CHAT} SELECT c.role, sha256(CASE WHEN c.role = 'system' AND conv_id % 7 <> 0 THEN '{dataset.SYSTEM}' ELSE coalesce(content, '') END) AS content_sha256, count(*) AS n FROM c JOIN d ON row_no = conv_id WHERE disposition = 'promoted' GROUP BY ALL""")
+def train_rows(t):
+    m = dataset.promote(chat(t))["train"].select(F.explode("messages").alias("m"))
+    return m.groupBy("m.role", F.sha2("m.content", 256).alias("content_sha256")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {CHAT}, q AS (SELECT row_no, question, {QID.replace("conv_id", "row_no")} AS qid, row_no // 10 AS page, 'exam' || (row_no // 10 % 8) AS doc, CASE WHEN row_no % 4 = 1 THEN NULL WHEN row_no % 4 = 0 THEN (row_no // 4) || '' ELSE (row_no // 3) || '' END AS main, row_no % 4 = 1 AS orphan FROM s),
+    k AS (SELECT *, last_value(CASE WHEN NOT orphan THEN {{'page': page, 'main': main}} END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM q),
+    m AS (SELECT *, CASE WHEN NOT orphan THEN main WHEN before.page = page THEN before.main END AS m FROM k),
+    g AS (SELECT *, sum(CASE WHEN changed THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY row_no) AS grp FROM (SELECT *, coalesce(lag(page || '|' || coalesce(m, 'row' || row_no)) OVER (PARTITION BY doc ORDER BY row_no) <> page || '|' || coalesce(m, 'row' || row_no), true) AS changed FROM m)),
+    l AS (SELECT *, CASE row_no % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS sub FROM g),
+    p AS (SELECT *, CASE WHEN question = '' THEN NULL WHEN sub IS NULL OR regexp_matches(question, '(?i)^[(（]?' || sub || '[)）]?') OR regexp_matches(question, '(?i)^[(（][a-z0-9ivx]+[)）]') THEN question ELSE '(' || sub || ') ' || question END AS part FROM l)
+    SELECT min(row_no) AS row_no, CASE WHEN count(*) = 1 THEN 'r' || min(row_no) ELSE doc || '_p' || printf('%03d', any_value(page)) || '_q' || any_value(m) END AS id, CASE WHEN count(*) = 1 THEN any_value(qid) ELSE any_value(m) END AS question_id,
+        CASE WHEN count(*) = 1 THEN any_value(question) ELSE coalesce(string_agg(part, chr(10) || chr(10) ORDER BY row_no), '') END AS question, CASE WHEN bool_or(row_no % 2 = 0) THEN 'fig' END AS figure_description, bool_or(row_no % 2 = 0) AS has_figure,
+        CASE WHEN count(*) > 1 THEN 'merged ' || count(*) || ' subparts' END AS notes, count(*) AS merged FROM p GROUP BY doc, grp""")
+def merge_subparts(t):
+    rows = chat(t).withColumn("source", F.col("source").withField("pdf", F.concat(F.lit("in/exam"), ((F.col("row_no") / 10).cast("bigint") % 8).cast("string"), F.lit(".pdf"))))
+    found = dataset.merge_subparts(rows)
+    return found.select("row_no", "id", "source.question_id", dataset.first_text("messages", "user").alias("question"), "figure_description", "has_figure", "notes", "merged")
+
+
+# -- runs ----------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT DISTINCT event_type AS doc_id, CASE WHEN length(event_type) % 2 = 0 THEN 'publish' ELSE 'check' END AS stage, length(event_type) % 2 = 0 AS ok, CASE WHEN length(event_type) % 2 = 1 THEN 'ValueError: odd name ' || event_type END AS error FROM events WHERE event_type IS NOT NULL""")
+def doc_batch_status(t):
+    """Kinds of events as documents of a batch: those with odd names fail in the first step, and the others go on."""
+    kinds = t("events").where("event_type is not null").select("event_type").distinct()
+
+    def check(doc: str) -> None:
+        if len(doc) % 2:
+            raise ValueError(f"odd name {doc}")
+
+    return runs.run_batch(kinds.sparkSession, sorted(r[0] for r in kinds.collect()), [("check", check), ("publish", lambda doc: None)])  # a few kinds
+
+
+#: Lines of a part as blocks of two panels a page; equal ids are told apart by their boxes.
+PANEL_BLOCKS = f"b AS (SELECT {BOX} FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY page, id % 2 ORDER BY id, x1, y1, x2, y2) - 1 AS i FROM b)"
+
+
+@query(f"""WITH {PANEL_BLOCKS} SELECT page, id, x1::DOUBLE AS x1, y1::DOUBLE AS y1, (i + CASE WHEN id % 2 = 1 THEN count(*) FILTER (id % 2 = 0) OVER (PARTITION BY page) ELSE 0 END)::INT AS "order", printf('p%03d_v%d_b%03d', page, id % 2, i) AS block_id FROM n""")
+def merge_panels(t):
+    rows = boxes(t).withColumn("order", F.col("id")).withColumn("version_id", F.concat(F.lit("v"), (F.col("id") % 2).cast("string"))).withColumn("bbox", geometry.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
+    panel = F.get(geometry.panel_boxes(F.lit("2_lr"), F.lit(0.0), F.lit(0.5)), (F.col("id") % 2).cast("int"))["box"]
+    rows = rows.withColumn("panel", panel).withColumn("page_width", F.lit(800.0)).withColumn("page_height", F.lit(600.0))
+    merged = layout.merge_panels(rows, ["page"], last=["x1", "y1", "x2", "y2"])
+    return merged.select("page", "id", "x1", "y1", F.col("order").cast("int").alias("order"), "block_id")
+
+
+@query()
+def split_scores(t):
+    ink = t("lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", (F.col("l_quantity") / 50).alias("v")))).alias("x"))
+    return ink.select("l_partkey", geometry.split_of(F.transform("x", lambda x: x["v"])).alias("s")).select("l_partkey", F.round("s.score", 6).alias("score"), F.round("s.split", 6).alias("split"))
+
+
+@query()
+def document_segments(t):
+    """Segments of whole document texts, whatever stands in them."""
+    found = segments.check_segments(segments.segment(drafts(t), ["doc_id"]))
+    return found.groupBy("page_index", "kind", "integrity", "version_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+# -- seams with plain functions for models -------------------------------------------------------------------
+
+
+def shown(t) -> DataFrame:
+    """Parts as page images: the bytes of an image are its page's number and size."""
+    return t("part").select(F.col("p_partkey").alias("page"), F.encode(F.concat_ws(" ", "p_partkey", "p_size"), "UTF-8").alias("content"), F.lit(100).alias("width"), F.lit(200).alias("height"))
+
+
+def found_on(data: bytes) -> list[tuple]:
+    """Two blocks a page, the second one predicted to come first; pages whose number ends in 7 fail."""
+    page, size = map(int, bytes(data).split())
+    if page % 10 == 7:
+        raise ValueError("blurred")
+    return [("text", 1, 100, 60, 120 + size, 0.9, 1), ("picture", 1, 10, 60, 40, 0.8, 0)]
+
+
+@query("SELECT p_partkey AS page, 'ValueError: blurred' AS error FROM part WHERE p_partkey % 10 = 7")
+def page_errors(t):
+    return seams.scan(shown(t), lambda: found_on, ["page"]).where("error is not null").select("page", "error")
+
+
+@query("SELECT p_partkey AS page, i AS \"order\", printf('p%03d_b%03d', p_partkey, 1 - i) AS block_id, CASE WHEN i = 0 THEN 'figure' ELSE 'text' END AS block_type FROM part, (VALUES (0), (1)) v(i) WHERE p_partkey % 10 <> 7")
+def predicted_order(t):
+    """Blocks by the position that the layout model predicts."""
+    found = seams.scan(shown(t), lambda: found_on, ["page"]).where("error is null").drop("error")
+    return layout.detections(found, "surya", ["page"]).select("page", "order", "block_id", "block_type")
+
+
+@query("SELECT p_partkey AS page, i AS index, CASE WHEN p_partkey % 2 = 0 THEN 1 - i ELSE i END AS \"order\" FROM part, (VALUES (0), (1)) v(i)")
+def order_merge(t):
+    """Blocks with the order of a second model, which speaks about even pages alone."""
+    blocks = t("part").select(F.col("p_partkey").alias("page"), F.explode(F.array(F.lit(0), F.lit(1))).alias("index")).withColumn("order", F.col("index"))
+    predicted = blocks.where("page % 2 = 0").select("page", "index", (F.lit(1) - F.col("index")).alias("position"))
+    return layout.merge_order(blocks, predicted, ["page"]).select("page", "index", F.col("order").cast("int").alias("order"))
+
+
+@query("SELECT p_partkey AS page, nullif(CASE p_partkey % 5 WHEN 1 THEN '' WHEN 2 THEN '' ELSE 'page ' || p_partkey || ' ' || p_size END, '') AS text, CASE p_partkey % 5 WHEN 1 THEN 'RuntimeError: no memory' WHEN 2 THEN 'empty text' END AS error FROM part")
+def page_ocr(t):
+    """Whole pages through one engine: some fail, some have no text, and none of these stops the others."""
+
+    def engine(data: bytes) -> str:
+        page = int(bytes(data).split()[0])
+        if page % 5 == 1:
+            raise RuntimeError("no memory")
+        return "```\n```" if page % 5 == 2 else f"```text\nAssistant: page {bytes(data).decode()}\n```"
+
+    return seams.page_texts(shown(t), lambda: engine, ["page"])
+
+
+@query("""SELECT p_partkey AS page, i AS "order", CASE WHEN i = 0 THEN '' ELSE p_partkey || ' ' || p_size || ' @0,98,62,' || least(200, 122 + p_size) END AS raw_text FROM part, (VALUES (0), (1)) v(i) WHERE p_partkey % 10 <> 7""")
+def block_crops(t):
+    """Each block's part of its page, cut with a margin, to the engine of its route; figures are skipped."""
+    blocks = layout.route(seams.detect(shown(t), lambda: found_on, "surya", ["page"]))
+    cropped = seams.crops(blocks, shown(t), ["page"], lambda data, box: data + b" @" + ",".join(map(str, box)).encode())
+    read = seams.read_blocks(cropped, {"math": lambda: None, "text": lambda: lambda data: bytes(data).decode()}, isolate=True)
+    return read.select("page", F.col("order").cast("int").alias("order"), "raw_text")
+
+
+@query("""SELECT p_partkey AS page, 'v' || v AS version_id, printf('p%03d_v%d_b%03d', p_partkey, v, 1 - i) AS block_id, (2 * v + i)::INT AS "order", 1.0::DOUBLE + 50 * v AS x1 FROM part, (VALUES (0), (1)) p(v), (VALUES (0), (1)) b(i) WHERE p_partkey % 10 <> 7""")
+def panel_blocks(t):
+    """Panels analysed on their own, their blocks moved to the page: the left panel's first."""
+    box = lambda i: F.struct(F.lit(i * 0.5).alias("x1"), F.lit(0.0).alias("y1"), F.lit(i * 0.5 + 0.5).alias("x2"), F.lit(1.0).alias("y2"))
+    each = F.explode(F.array(*[F.struct(F.lit(f"v{i}").alias("version_id"), box(i).alias("panel")) for i in (0, 1)]))
+    panels = shown(t).select("page", "content", each.alias("p"), F.lit(100.0).alias("page_width"), F.lit(200.0).alias("page_height")).select("page", "content", "p.*", "page_width", "page_height")
+    found = seams.detect_panels(panels, lambda: found_on, "surya", ["page"])
+    number = F.regexp_extract("block_id", r"b(\d+)$", 1).cast("int")
+    return found.select("page", "version_id", F.format_string("p%03d_%s_b%03d", F.col("page"), F.col("version_id"), F.lit(1) - number).alias("block_id"), F.col("order").cast("int").alias("order"), "x1")
+
+
+@query(r"""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '<<<nup:v0>>>' || chr(10) || chr(10) || 'left ' || p_size || chr(10) || chr(10) || '<<<nup:v1>>>' || chr(10) || chr(10) ELSE '' END || 'right' AS txt,
+    CASE WHEN p_partkey % 2 = 0 THEN 'polish parse fail; draft wrapped' ELSE '' END AS warnings, CASE WHEN p_partkey % 2 = 0 THEN contains('x', 'y') ELSE true END AS own FROM part""")
+def polish_documents(t):
+    """Replies of a model as texts and documents: one stretch's reply holds a document, the other's nothing to read."""
+    draft = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("<<<nup:v0>>>\nleft "), F.col("p_size").cast("string"), F.lit("\n<<<nup:v1>>>\nright"))).otherwise(F.lit("right"))
+    model = lambda piece: "?" if piece.endswith(tuple("0123456789")) else "<<<TXT>>>\nright<|im_end|>\n<<<TEX>>>\n\\documentclass{x}\\begin{document}right\\end{document}"
+    done = segments.polish_documents(t("part").select("p_partkey", draft.alias("draft")), ["p_partkey"], seams.with_prompt(model, "Polish: "))
+    return done.select("p_partkey", "txt", F.array_join("warnings", "; ").alias("warnings"), F.startswith("tex", F.lit("\\documentclass{x}")).alias("own"))
+
+
+@query("SELECT row_no AS at, 1 AS part, sha256(block) AS content_sha256 FROM (SELECT p_partkey AS row_no, p_name || chr(10) || 'x' AS block FROM part) UNION ALL SELECT NULL, 0, sha256('% questions: ' || count(*) || chr(10)) FROM part UNION ALL SELECT NULL, 2, sha256('% END')")
+def question_document(t):
+    blocks = t("part").select(F.col("p_partkey").alias("row_no"), F.concat("p_name", F.lit("\nx")).alias("block"))
+    return sinks.question_document(blocks).select("at", F.col("part").cast("int").alias("part"), F.sha2("content", 256).alias("content_sha256"))
+
+
+@query("SELECT p_partkey, greatest(0, trunc(p_size / 50.0::DOUBLE * 100)::INT) AS x1, least(100, greatest(1, trunc((p_size / 50.0::DOUBLE + 0.1::DOUBLE) * 100)::INT)) AS x2 FROM part")
+def norm_boxes(t):
+    """Boxes in shares of a page as whole pixels."""
+    b = geometry.box(F.col("p_size") / 50, F.lit(0.0), F.col("p_size") / 50 + 0.1, F.lit(1.0))
+    px = geometry.to_pixels(b, F.lit(100), F.lit(200))
+    return t("part").select("p_partkey", px.alias("b")).select("p_partkey", "b.x1", "b.x2")
+
+
+@query("SELECT p_partkey, (p_size)::DOUBLE AS x1, (p_size - 1)::DOUBLE AS y1, (p_size + 9)::DOUBLE AS x2, (p_size + 7)::DOUBLE AS y2 FROM part")
+def polygon_boxes(t):
+    s = F.col("p_size").cast("double")
+    points = F.array(F.array(s, s + 2), F.array(s + 9, s - 1), F.array(s + 4, s + 7))
+    return t("part").select("p_partkey", geometry.polygon_box(points).alias("b")).select("p_partkey", "b.*")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'zh' ELSE 'en' END AS lang, '20260101-000000-d' || doc_id AS job FROM documents")
+def job_names(t):
+    said = F.when(F.col("doc_id") % 2 == 0, " ZH\n").otherwise("En")
+    return t("documents").select("doc_id", text.normalize_lang(said).alias("lang"), text.job_id(F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")).alias("job"))
+
+
+@query("SELECT p_partkey AS pos, 'search_document: ' || p_name AS prompt, 3 AS n FROM part")
+def embed_input(t):
+    """What the model gets for a segment, seen through a model that keeps the code points of its last letters."""
+    model = lambda texts: [[float(ord(c)) for c in x[-3:]] for x in texts]
+    rows = vectors.embed(t("part").select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("text")), model, 3)
+    tail = F.array_join(F.transform("vector", lambda x: F.char(x.cast("int"))), "")
+    return rows.select("pos", F.when(tail == F.substring("text", -3, 3), F.concat(F.lit(vectors.PREFIX), "text")).alias("prompt"), F.size("vector").alias("n"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -45,15 +45,20 @@ def cached_pages(spark: SparkSession, folder: str, make: Callable[[], DataFrame]
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) with 1-based numbers. Each file is one task's, as its numbers need it whole."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("i", "line")).select("file", (F.col("i") + 1).alias("line_no"), "line")
+    """(file, line_no, line) with 1-based numbers, LF or CRLF ending lines. Files are read in splits: tasks number
+    the lines of their split, and what splits before it in the file hold is added."""
+    lines = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("seq"), F.regexp_replace("value", r"\r\z", "").alias("line"))
+    blocks = lines.groupBy("file", "at").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
+    # One row for each split of each file, each file's on their own.
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("file", "at", "first", before.alias("before"))
+    return lines.join(blocks, ["file", "at"]).select("file", (F.col("seq") - F.col("first") + F.col("before") + 1).cast("int").alias("line_no"), "line")
 
 
 def json_lines(spark: SparkSession, path: str, schema: str = CHAT, strict: bool = False) -> DataFrame:
-    """Rows of JSON lines, blank ones left out. strict: a line that is no JSON is an error with its file and number."""
+    """Rows of JSON lines, blank ones left out. A line that is no JSON is an error; strict: with its file and number."""
     if not strict:
-        return spark.read.schema(schema).json(path)
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     lines = numbered_lines(spark, path).where(strip("line") != "")
     bad = F.raise_error(F.concat("file", F.lit(":"), F.col("line_no").cast("string"), F.lit(": no JSON")))
     checked = F.when(F.try_parse_json("line").isNull(), bad.cast("string")).otherwise(F.col("line"))

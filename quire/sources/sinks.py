@@ -10,9 +10,10 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import latex_document
 from ..operators.manifest import NAME
 
 
@@ -51,9 +52,54 @@ def panels_json() -> Column:
 
 
 def question_document(blocks: DataFrame, order: str = "row_no") -> DataFrame:
-    """(content): all blocks as one LaTeX text with counts in its head and a mark at its end."""
-    found = blocks.agg(F.array_sort(F.collect_list(F.struct(order, "block"))).alias("x"))
-    return found.select(F.concat(F.lit("% questions: "), F.size("x").cast("string"), F.lit("\n\n"), F.array_join(F.transform("x", lambda x: x["block"]), "\n"), F.lit("\n% END\n")).alias("content"))
+    """(part, at, content): a LaTeX text of all blocks as rows to write in the order of part and at: a head with their number,
+    the blocks, and a mark at the end. No row holds more than one block."""
+    n = blocks.agg(F.concat(F.lit("% questions: "), F.count(F.lit(1)).cast("string"), F.lit("\n")).alias("content"))
+    none = F.lit(None).cast(dict(blocks.dtypes)[order])
+    end = blocks.sparkSession.range(1).select(F.lit(2).alias("part"), none.alias("at"), F.lit("% END").alias("content"))
+    body = blocks.select(F.lit(1).alias("part"), F.col(order).alias("at"), F.col("block").alias("content"))
+    return n.select(F.lit(0).alias("part"), none.alias("at"), "content").unionByName(body).unionByName(end)
+
+
+def write_text(parts: DataFrame, folder: str) -> None:
+    """Rows of ``question_document`` as text files whose names sort in the order of the text."""
+    parts.orderBy("part", "at").select("content").write.mode("overwrite").text(folder)
+
+
+def append_to_text(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Texts (doc_id, page, text) behind those of earlier runs; rows without text leave nothing."""
+    run = 0 if not folder_has(spark, path) else (spark.read.parquet(path).agg(F.max("run")).first()[0] or 0) + 1
+    rows.where(F.coalesce("text", F.lit("")) != "").select("doc_id", F.lit(run).alias("run"), "page", "text").write.mode("append").parquet(path)
+
+
+def accumulated(spark: SparkSession, path: str, lang: str = "zh") -> DataFrame:
+    """(doc_id, txt, tex): all texts that were appended, blank lines between them, and the document rebuilt from the whole."""
+    found = spark.read.parquet(path).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("run", "page", "text"))).alias("x"))
+    whole = found.select("doc_id", F.array_join(F.transform("x", lambda x: x["text"]), "\n\n").alias("txt"))
+    return whole.withColumn("tex", latex_document("txt", F.lit(lang), F.col("doc_id")))
+
+
+def folder_has(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def output_paths(source: str, folder: str = "output", txt: str = "output/{source}.txt", tex: str = "output/{source}.tex") -> tuple[str, str]:
+    """Where a document's files go: templates that name the source, else the folder with its name."""
+    return tuple(t.format(source=source) if "{source}" in t else f"{folder}/{source}.{end}" for t, end in ((txt, "txt"), (tex, "tex")))
+
+
+def bootstrap(spark: SparkSession, example: DataFrame, train: str) -> bool:
+    """Training rows from an example, only where there are none; tells whether they were made."""
+    if folder_has(spark, train):
+        return False
+    example.write.json(train)
+    return True
+
+
+def write_panels(decisions: DataFrame, folder: str) -> None:
+    """Panel decisions of pages as JSON, by page."""
+    decisions.select("page_index", panels_json().alias("value")).repartition("page_index").write.mode("overwrite").partitionBy("page_index").text(folder)
 
 
 def append_text(old: str, new: str) -> str:

@@ -48,7 +48,13 @@ def test_merge_subparts(spark):
     rows = [row(1, user="first", qid="4(a)"), row(2, user="second", qid="(b)", figure_description="f", has_figure=True), row(3, user="third", qid="4(c)", figure_description="f"), row(4, qid="5"), row(5, qid="(a)", page=2), row(6, qid="")]
     out = dataset.merge_subparts(chat(spark, rows)).orderBy("row_no").collect()
     assert [(r.row_no, r.merged) for r in out] == [(1, 3), (4, 1), (5, 1), (6, 1)]
-    assert (out[0].id, out[0].question, out[0].figure_description, out[0].notes, out[0].has_figure) == ("e_p001_q4", "(a) first\n\n(b) second\n\n(c) third", "f", "merged 3 subparts", True)
+    question = next(m.content for m in out[0].messages if m.role == "user")
+    assert (out[0].id, question, out[0].figure_description, out[0].notes, out[0].has_figure) == ("e_p001_q4", "(a) first\n\n(b) second\n\n(c) third", "f", "merged 3 subparts", True)
+    assert out[0].source.question_id == "4" and out[0].status is not None and out[1].source.question_id == "5"
+    # A row without an id parts what stands before it from what follows.
+    rows = [row(1, user="first", qid="4(a)", page=1234), row(2, qid="", page=1234), row(3, qid="(b)", page=1234), row(4, qid="(c)", page=1234), row(5, qid="5", page=1234), row(6, qid="(a)", page=1234)]
+    out = dataset.merge_subparts(chat(spark, rows)).orderBy("row_no").collect()
+    assert [(r.row_no, r.merged) for r in out] == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 2)] and out[4].id == "e_p1234_q5"
 
 
 def test_question_blocks(spark):
@@ -56,7 +62,8 @@ def test_question_blocks(spark):
     out = dataset.question_blocks(df).collect()
     assert len(out) == 1 and out[0].block == "% id=r1  page=1  exam_q=7  has_figure=True\n題目：\n$x$ is what?\n\n[圖] fig\n"
     assert dataset.question_blocks(df, True).count() == 2
-    assert sinks.question_document(dataset.question_blocks(df)).first().content.startswith("% questions: 1\n")
+    whole = [r.content for r in sinks.question_document(dataset.question_blocks(df)).orderBy("part", "at").collect()]
+    assert whole[0] == "% questions: 1\n" and whole[-1] == "% END" and len(whole) == 3
 
 
 GOOD = {"done_schema": 1, "job_id": "job-1", "doc_id": "d", "created_at": "t", "source_pdf": "a.pdf", "artifacts": [{"path": "d.txt", "sha256": "0" * 64}], "ocr_pipeline_version": "1"}
@@ -167,3 +174,170 @@ def test_registry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_manifest_paths_and_schema(spark):
+    import copy
+
+    def wrong(change):
+        m = copy.deepcopy(GOOD)
+        m.update(change)
+        return spark.createDataFrame([(json.dumps(m),)], "manifest string").select(manifest.errors("manifest").alias("e")).first().e
+
+    item = lambda path: {"artifacts": [GOOD["artifacts"][0], {"path": path, "sha256": "0" * 64}]}
+    assert wrong(item("\\etc")) == ["unsafe artifact path"] and wrong(item("a\\b")) == [] and wrong({}) == []
+    assert wrong({"done_schema": "1"}) == ["done_schema must be 1"] and wrong({"done_schema": None}) == ["done_schema must be 1"]
+
+
+def test_lines_that_are_no_json(spark, tmp_path):
+    (tmp_path / "bad.jsonl").write_text('{"id": "a"}\n{oops\n')
+    with pytest.raises(Exception, match="(?i)malformed|reading file"):
+        readers.json_lines(spark, str(tmp_path / "bad.jsonl")).collect()
+
+
+def test_numbered_lines_over_splits(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"".join(b"line %d\r\n" % i if i % 3 else b"\n" for i in range(1, 5001)))
+    (tmp_path / "b.txt").write_text("one")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = readers.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    a = sorted((r.line_no, r.line) for r in rows if r.file.endswith("a.txt"))
+    assert a == [(i, f"line {i}" if i % 3 else "") for i in range(1, 5001)] and [(r.line_no, r.line) for r in rows if r.file.endswith("b.txt")] == [(1, "one")]
+
+
+def test_page_limit_counts_pages(spark):
+    pages = spark.createDataFrame([("d", 5), ("d", 6), ("d", 7), ("e", 1)], "doc string, page int")
+    assert sorted(map(tuple, seams.layout_limit(pages, 2, ["doc", "page"]).collect())) == [("d", 5), ("d", 6), ("e", 1)]
+    assert seams.layout_limit(pages, 0, ["doc", "page"]).count() == 4
+
+
+def test_failing_pages_and_blocks(spark):
+    pages = spark.createDataFrame([("d", 1, bytearray(b"x")), ("d", 2, bytearray(b"!"))], "doc string, page int, content binary")
+
+    def find(data):
+        if bytes(data) == b"!":
+            raise RuntimeError("blurred")
+        return [("text", 0.0, 0.0, 9.0, 9.0, 1.0)]
+
+    assert {(r.page, r.error) for r in seams.scan(pages, lambda: find, ["doc", "page"]).collect()} == {(1, None), (2, "RuntimeError: blurred")}
+    assert [r.page for r in seams.detect(pages, lambda: find, "mineru", ["doc", "page"]).collect()] == [1]
+    blocks = spark.createDataFrame([(1, "text", False, bytearray(b"a")), (2, "text", False, bytearray(b"")), (3, "math", False, bytearray(b"m")), (4, "none", True, bytearray(b"a"))], "i int, route string, skipped boolean, crop binary")
+
+    def fails(data):
+        raise OSError("no memory")
+
+    engines = {"math": lambda: fails, "text": lambda: lambda d: bytes(d).decode()}
+    got = {r.i: (r.raw_text, r.error) for r in seams.read_blocks(blocks, engines, isolate=True).collect()}
+    assert got == {1: ("a", None), 2: ("", "empty text"), 3: ("", "OSError: no memory"), 4: ("", None)}
+    with pytest.raises(Exception, match="no memory"):
+        seams.read_blocks(blocks, engines).collect()
+    with pytest.raises(Exception, match="no engine for text"):
+        seams.read_blocks(blocks, {"math": engines["math"]}).collect()
+
+
+def test_from_panels_to_drafts(spark):
+    wide = [255] * (64 * 40)
+    for y in range(40):  # two columns of ink, a gap between them
+        for x in [*range(4, 28), *range(36, 60)]:
+            wide[y * 64 + x] = 0
+    pages = spark.createDataFrame([("d", 1, bytearray(b"p"), 64, 40, wide)], "doc string, page int, content binary, width int, height int, pixels array<int>")
+    cut = lambda data, box: data + f"|{box[0]},{box[2]}".encode()
+    find = lambda: lambda data: [("text", 1.0, 1.0, 9.0, 9.0, 1.0)]
+    seen = {"text": lambda: lambda data: "read at " + bytes(data).decode().split("|")[-1] + " of the page"}
+    out = seams.drafts_of(pages, ["doc", "page"], find, seen, seams.Settings(panels=True, panel_threshold=0.5), cut).first().draft
+    assert out.count("read at") == 2 and "<<<nup:v0>>>" in out and "<<<nup:v1>>>" in out
+    assert out.index("<<<nup:v0>>>") < out.index("read at 0,11") < out.index("<<<nup:v1>>>")
+    plain = seams.drafts_of(pages, ["doc", "page"], find, seen, seams.Settings(), cut).first().draft
+    assert plain == "read at 0,11 of the page"
+
+
+def test_labels_by_page(spark):
+    panels = spark.createDataFrame([(1, "v0"), (2, "v0")], "page int, version_id string")
+    drafts = spark.createDataFrame([(1, "v0", "這是一段中文的文字內容"), (2, "v0", "some plain english words")], "page int, version_id string, draft string")
+    from quire.operators import layout
+
+    assert sorted((r.page, r.semantic) for r in layout.label_panels(panels, drafts).collect()) == [(1, "zh"), (2, "en")]
+
+
+def test_appended_texts(spark, tmp_path):
+    path = str(tmp_path / "txt")
+    for texts in ([("d", 1, "one"), ("d", 2, "")], [("d", 1, "two & more"), ("e", 1, "other")]):
+        sinks.append_to_text(spark, spark.createDataFrame(texts, "doc_id string, page int, text string"), path)
+    got = {r.doc_id: r for r in sinks.accumulated(spark, path).collect()}
+    assert got["d"].txt == "one\n\ntwo & more" and "two \\& more" in got["d"].tex and got["e"].txt == "other"
+    assert sinks.append_text("a", "b") == "a\n\nb" and sinks.append_text("", "b") == "b" and sinks.append_text("a", "") == "a"
+    assert sinks.output_paths("s") == ("output/s.txt", "output/s.tex") and sinks.output_paths("s", "o", "x.txt", "y/{source}.t") == ("o/s.txt", "y/s.t")
+    example = spark.createDataFrame([("a",)], "id string")
+    assert sinks.bootstrap(spark, example, str(tmp_path / "train")) and not sinks.bootstrap(spark, example.limit(0), str(tmp_path / "train"))
+    assert spark.read.json(str(tmp_path / "train")).count() == 1
+    blocks = spark.createDataFrame([(2, "second"), (1, "first\nline")], "row_no int, block string")
+    sinks.write_text(sinks.question_document(blocks), str(tmp_path / "doc"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "doc").glob("part-*")))
+    assert text == "% questions: 2\n\nfirst\nline\nsecond\n% END\n"
+    decisions = spark.createDataFrame([(3, "one", 1.0, 0.75, True, [])], "page_index int, `class` string, confidence double, threshold double, fallback boolean, panels array<struct<version_id:string>>")
+    sinks.write_panels(decisions, str(tmp_path / "nup"))
+    assert json.loads(spark.read.text(str(tmp_path / "nup")).first().value)["class"] == "one"
+    assert runs.success_lines("/a/d.tex", ["w", " w ", ""]) == ["TEX: /a/d.tex", "Next: edit <=10m, then latexmk -xelatex d.tex", "WARN: w"] and "Stage3" in runs.notes()["preflight"]
+
+
+def test_collection(spark):
+    name = "points_of_a_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        assert vectors.ensure_collection(spark, name) and not vectors.ensure_collection(spark, name)
+        assert vectors.collection_info(spark, name) == {"dim": "768", "metric": "cosine"} and "vector" in spark.table(name).columns
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_nearest_vectors(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    data = rng.normal(size=(120, 5)).round(1)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)] + [(200, data[3].tolist()), (201, [0.0] * 5), (202, None), (203, [1.0, None, 0.0, 0.0, 0.0]), (204, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "id long, vector array<float>")
+    monkeypatch.setattr(vectors, "TILE", 16)
+    got = {}
+    for r in vectors.top_k(df.where("id % 20 = 0"), df, 7).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.id)
+    whole = {i: np.array(v, np.float32).astype(float) for i, v in rows if v and None not in v and len(v) == 5 and any(v)}
+    for q in (i for i in whole if i % 20 == 0):
+        score = {i: round(float(whole[q] @ v / np.sqrt((whole[q] @ whole[q]) * (v @ v))), 12) for i, v in whole.items() if i != q}
+        assert got[q] == sorted(score, key=lambda i: (-score[i], i))[:7]
+    assert set(got) == {i for i in whole if i % 20 == 0}
+    assert vectors.top_k(df.limit(0), df.limit(0), 3).count() == 0
+
+
+def test_split_scores_by_the_rule(spark):
+    """Scores of places by plain sums over the window and what lies to its sides."""
+    import random
+
+    from quire.functions import geometry
+
+    def mean(x, lo, hi):
+        part = x[max(0, lo) : max(hi, lo + 1)]
+        return sum(part) / len(part) if part else None
+
+    def score(x, f):
+        n = len(x)
+        mid, half = round(f * (n - 1)), max(1, int(n * 0.04 / 2))
+        sides = [mean(x, int((f - 0.35) * n), int((f - 0.08) * n)), mean(x, int((f + 0.08) * n), int((f + 0.35) * n))]
+        if any(s is None or s < 0.008 for s in sides):
+            return 0.0
+        flank = sum(sides) / 2
+        return min(1.0, max(0.0, abs(mean(x, mid - half, mid + half) - flank) / flank))
+
+    rng = random.Random(4)
+    cases = [[rng.random() for _ in range(n)] for n in (5, 15, 16, 40, 100, 333)] + [[0.0] * 50, [0.5] * 24 + [0.0] * 4 + [0.5] * 24]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, x array<double>")
+    for r in df.select("i", "x", geometry.split_of("x").alias("s")).collect():
+        best, at, f = 0.0, 0.5, 0.38
+        while len(r.x) >= 16 and f <= 0.62 + 1e-9:
+            if score(r.x, f) > best:
+                best, at = score(r.x, f), f
+            f += 0.01
+        assert abs(r.s.score - best) < 1e-9 and abs(r.s.split - at) < 1e-9, r.i

@@ -16,6 +16,11 @@ CASES = [
     ("$\\begin{tabular}{c}\\hline $x=300$ & 1M \\\\\\hline\\end{tabular}$", [("math", "x=300"), ("mark_note", "1M")], ["tabular", "hline"]),
     ("$=250(1+20\\%)=\\$300$", [("math", "=250(1+20\\%)=\\$300")], []),
     ("$x=1$\n$\\frac{-}{-}$", [("math", "x=1")], ["frac"]),
+    ("$\\frac{正方形性質}{-}$\n$\\frac{-}{-}$\n$x=1$\n", [("math", "x=1")], ["\\frac"]),
+    ("```markdown\n解\n$$\\frac{a}{b}=1$\n$x=2$$\n```\n", [("prose", "解"), ("math", "\\frac{a}{b}=1"), ("math", "x=2")], ["```", "$$", "markdown"]),
+    ("$\\begin{table}[h]$\n$\\begin{tabular}{|c|c|c|}$$\\hline$$解 & 分 & 備註 \\$$\\hline$6. (a) 該書的售價 &$x=300$& 1M\\\\$$\\hline$$\\end{tabular}$\n$\\end{table}$", [("math", "x=300"), ("mark_note", "1M"), ("prose", "解")], ["tabular", "hline", "table"]),
+    ("\\[ x \\le 2 \\] 和 \\(y_1\\)", [("math", "x \\le 2"), ("math", "y_1"), ("prose", "和")], ["\\[", "\\("]),
+    ("$\\text{甲}+\\text{，}\\caption{t}$", [("prose", "甲"), ("prose", "+")], ["text", "caption"]),
     ("正文\n\\end{document}\n更多", [("prose", "正文"), ("prose", "更多")], ["document"]),
 ]
 
@@ -78,3 +83,43 @@ def test_stitch(spark):
     rows = [(1, 0, "A.", "v0"), (1, 1, "-4", "v0"), (1, 2, "。", "v0"), (1, 3, "  ", "v1"), (1, 4, "A longer stem, too long to go on with an option before it", "v1")]
     df = spark.createDataFrame(rows, "page int, `order` int, raw_text string, version_id string")
     assert segments.stitch(df, ["page"]).first().draft == "<<<nup:v0>>>\n\nA. -4。 <<<nup:v1>>>\n\nA longer stem, too long to go on with an option before it"  # marks take part in gluing
+
+
+@given(st.lists(st.sampled_from(["A.", "b)", "-1", "。", "12.", "text", "a longer text of words", "x", "2", ", ,", "C. open", " ", ""]), max_size=10))
+def test_glue_joins_by_the_rule(parts):
+    out = []
+    for p in (x.strip() for x in parts):
+        if out and not p:
+            continue
+        if out and pages.glued(out[-1], p):
+            out[-1] = out[-1].rstrip() + ("" if pages.punctuation_alone(p) else " ") + p
+        else:
+            out.append(p)
+    assert pages.glue(parts) == "\n\n".join(x.strip() for x in out)
+
+
+def test_document_segments(spark, tmp_path):
+    """The query over whole texts against the page functions, text by text."""
+    from collections import Counter
+
+    from quire.plans import registry
+
+    texts = [c[0] for c in CASES] + ["a$$$ b&&& c,*** d\\\\ e", "", None]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.page_index, r.kind, r.version_id): (r.n, r.chars) for r in registry.QUERIES["document_segments"](spark, str(tmp_path)).where("integrity = 'ok'").collect()}
+    n, chars = Counter(), Counter()
+    for i, t in enumerate(texts):
+        draft = f"<<<nup:v{i % 2}>>>\n{t}\n$x_{i}={i % 7}$\n{i % 3 + 1}M+1A" if t is not None else ""
+        for kind, text, version in pages.page_segments(draft):
+            n[i % 5, kind, version] += 1
+            chars[i % 5, kind, version] += len(text)
+    assert got == {k: (n[k], chars[k]) for k in n}
+
+
+def test_polished_documents(spark):
+    df = spark.createDataFrame([(1, "<<<nup:v0>>>\n\nleft\n\n<<<nup:v1>>>\n\nright"), (2, "alone"), (3, "cut")], "id int, draft string")
+    model = lambda p: "nothing" if p == "left" else f"<<<TXT>>>\n{p}!<|x|>\n<<<TEX>>>\n\\documentclass{{a}}\\begin{{document}}{p} a/b" + ("" if p == "cut" else "\\end{document}")
+    got = {r.id: r for r in segments.polish_documents(df, ["id"], model).collect()}
+    assert got[1].txt == "<<<nup:v0>>>\n\nleft\n\n<<<nup:v1>>>\n\nright!" and got[1].warnings == ["polish parse fail; draft wrapped"]
+    assert "<<<nup:v1>>>\n\nright a/b" in got[1].tex and got[1].tex.count("documentclass") == 1
+    assert got[2].tex == "\\documentclass{a}\\begin{document}alone a/b\\end{document}" and got[3].warnings == ["polish truncated; draft kept"]
