@@ -2,19 +2,21 @@
 
 Texts are cut into units: sentences, lines, and paragraphs between blank lines. A unit's TF-IDF vector is
 compared by cosine with those of license templates; its best template of at least ``LEAST`` is its license, and
-a file's is that of its best unit. Inverse document frequencies are the templates'; any other word counts as one
+a file's is that of its best unit. Common words alone make no match: one of the words in common has to be another. Inverse document frequencies are the templates'; any other word counts as one
 that no template has. Vectors are kept sparse, as rows of (unit, term).
 
-Only units that have an anchor are scored. Anchors are the heaviest terms of the templates, as many of each
-as it takes that no unit without an anchor can reach ``LEAST``; so nothing is lost.
+Only texts, and then units, that have rare terms enough of some template are scored: enough is what it takes to reach
+``LEAST`` if all of the template's common words were there too, so nothing is lost. Rare terms are found in one pass
+over a text; all words are found in the few units left alone, which are written to the shared folder.
 
 Beside that, a whole text is compared with the whole texts in ``licence_texts``, with weights of their own; from
-``WHOLE_LEAST`` on this is a match like a unit's. The bound is high, since legal texts share most of their words. The
+``WHOLE_LEAST`` on this is a match like a unit's. This takes place for texts with one of the words ``SPEAKING``. The bound is high, since legal texts share most of their words. The
 SQL leaves this match out.
 
 A licence file is one named like one, or one whose whole text is near a template. Files without a license of
 their own inherit from the nearest directory above that holds a licence file: each distinct directory is
-joined with its ancestors' licences once, files then with their directory.
+joined with its ancestors' licences once, files then with their directory, dealt to ``SALTS`` keys each, so that a
+directory with very many files isn't one task's.
 
 A file with the opening of the BSD licences has the 3-clause one if it has its third clause too.
 
@@ -26,18 +28,20 @@ their best license; extra columns don't come along.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
 from collections.abc import Callable
-from functools import lru_cache, reduce
-from operator import or_
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAST, WHOLE_LEAST = 0.65, 0.9
+from .common import discard, written
+
+LEAST, WHOLE_LEAST, SALTS = 0.65, 0.9, 16
 
 # Names and wording of public licences and their notices.
 TEMPLATES = [
@@ -97,8 +101,10 @@ TERM_PY = r"[^\W_]+(?:[.-][^\W_]+)*"
 UNITS = (r"(?<=[.!?;:])\s+|\n", r"\n", r"\n\s*\n")
 
 
-#: Words of any text: the last to become anchors, since most texts have them. They don't change any score.
-COMMON = set("a and any are as be by copy file files for form free in into is it may met not of on or person that the this to under use v with without work all if list mean must such we you your".split())
+#: A whole text is compared with whole licences if it has one of these words; each of these licences has.
+SPEAKING = {"copyright", "license", "permission", "software"}
+#: Words of any text: the last to count as rare, since most texts have them. They don't change any score.
+COMMON = set("a and any are as at be but by can copy do each file files for form free from had has have he her his i if in into is it its list may mean met must no nor not of on one or our person see so such that the their they this to under us use used v was we were which will with without work all you your".split())
 
 
 Weights = tuple[list[tuple[int, str, str, float, float]], float]
@@ -128,66 +134,76 @@ def whole_weights() -> Weights:
     return weights_of([(f.stem, f.read_text("utf-8")) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))])
 
 
-def anchors(least: float = LEAST, of: Callable[[], Weights] = weights, rare: bool = True) -> list[str]:
-    """Terms such that a unit without any of them has a cosine below least with each template: the weights left
-    have a length below it. The rarer words of a template come first, or else the heaviest."""
-    templates: dict[int, list] = {}
+Needs = list[tuple[float, dict[str, float]]]
+
+
+def needs(least: float = LEAST, of: Callable[[], Weights] = weights) -> Needs:
+    """For each template the squared weights of its rare terms, and how much of them a unit has to have to reach least if all
+    of the template's common words are there; at least one rare term in any case."""
+    templates: dict[int, dict[str, float]] = {}
     for i, _, t, w, _ in of()[0]:
-        templates.setdefault(i, []).append((not rare or t not in COMMON, w, t))
-    out: set[str] = set()
-    for mine in templates.values():
-        mine.sort(reverse=True)
-        while math.sqrt(sum(w * w for _, w, t in mine if t not in out)) >= least - 1e-9:
-            out.add(next(t for _, _, t in mine if t not in out))
-    return sorted(out)
+        templates.setdefault(i, {})[t] = w * w
+    split = [({t: w for t, w in mine.items() if t not in COMMON}, sum(w for t, w in mine.items() if t in COMMON)) for mine in templates.values()]
+    return [(max(least * least - left, 1e-4), rare) for rare, left in split]
 
 
-def words(text: Column | str) -> Column:
-    return F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+def pattern(terms: set[str]) -> str:
+    """A regular expression of terms as whole words, by their first letters, longer ones first."""
+    by: dict[str, list[str]] = {}
+    for t in sorted(terms, key=lambda t: (-len(t), t)):
+        by.setdefault(t[0], []).append(re.escape(t[1:]).replace("/", r"\/"))
+    return r"(?<![\p{L}\p{N}])(?:" + "|".join(f"{re.escape(c)}(?:{'|'.join(x)})" for c, x in sorted(by.items())) + r")(?![\p{L}\p{N}])"
 
 
-def may_reach(terms: Column, least: float) -> Column:
-    """Whether a unit's cosine with any template can reach least: no more than the share of its length that lies
-    in the templates' terms, where each other word counts at least once. Computed within the row, so that few
-    units have their words moved."""
-    table, unseen = weights()
-    idf = {t: f for _, _, t, _, f in table}
-    own = F.create_map(*[F.lit(x) for kv in sorted(idf.items()) for x in kv])
-    known = F.array_intersect(terms, F.array(*[F.lit(t) for t in sorted(idf)]))
+def constant(values: object, kind: str) -> str:
+    """A constant array or map in Spark's SQL, as one expression however many values it has."""
+    return f"from_json(r'{json.dumps(values)}', '{kind}')"
 
-    def bound(inside: Column) -> Column:
-        part = lambda t: F.size(F.filter(terms, lambda x: x == t)) * F.try_element_at(own, t)
-        length = F.aggregate(inside, F.lit(0.0), lambda s, t: s + part(t) * part(t))
-        others = F.size(F.array_distinct(terms)) - F.size(inside)
-        return length >= F.lit(least * least - 1e-6) * (length + F.lit(unseen * unseen) * others)
 
-    return F.get(F.transform(F.array(known), bound), F.lit(0))
+def reaches(found: str, need: Needs) -> str:
+    """SQL that tells whether an array of distinct terms has terms enough of some template: one pass over it, with a sum for
+    each template."""
+    rows: dict[str, list[float]] = {}
+    for i, (_, rare) in enumerate(need):
+        for t, w in rare.items():
+            rows.setdefault(t, [0.0] * len(need))[i] = w
+    sums = f"aggregate({found}, array_repeat(0D, {len(need)}), (a, w) -> zip_with(a, {constant(dict(sorted(rows.items())), 'map<string,array<double>>')}[w], (p, q) -> p + q))"
+    return f"exists(zip_with({sums}, {constant([least - 1e-6 for least, _ in need], 'array<double>')}, (p, q) -> p >= q), x -> x)"
 
 
-def shares(of: Callable[[], Weights]) -> list[list[tuple[list[str], float]]]:
-    """For each template its terms in classes of like weight, each with its largest squared weight: a unit's cosine
-    is no more than the root of the sum of the squared weights of the terms that it has."""
-    templates: dict[int, dict[int, list]] = {}
-    for i, _, t, w, _ in of()[0]:
-        templates.setdefault(i, {}).setdefault(math.floor(-2 * math.log(w) / math.log(1.5)), []).append((w * w, t))
-    return [[(sorted(t for _, t in c), max(c)[0]) for _, c in sorted(x.items())] for x in templates.values()]
+def rare_terms(text: str, need: Needs) -> str:
+    """SQL for the rare terms that a text has. Terms inside longer ones count as well, which lets more through, never less."""
+    return f"array_distinct(regexp_extract_all({text}, r'{pattern({t for _, rare in need for t in rare})}', 0))"
 
 
-def largest(of: Callable[[], Weights]) -> list[list[tuple[list[str], float]]]:
-    """The same for all templates at once, each term with its largest weight."""
-    most: dict[str, float] = {}
-    for _, _, t, w, _ in of()[0]:
-        most[t] = max(w, most.get(t, 0.0))
-    return shares(lambda: ([(0, "", t, w, 0.0) for t, w in most.items()], 0.0))
+def hopeful(text: str, need: Needs) -> str:
+    """SQL that tells whether a text has rare terms enough of some template."""
+    return f"get(transform(array({rare_terms(text, need)}), t -> size(t) > 0 AND {reaches('t', need)}), 0)"
 
 
-def has_share(terms: Column, least: float, templates: list[list[tuple[list[str], float]]]) -> Column:
-    """Whether a unit has terms enough of some template to reach least."""
-    known = F.array_intersect(terms, F.array(*[F.lit(t) for t in sorted({t for x in templates for names, _ in x for t in names})]))
-    size = lambda x, names: F.size(F.array_intersect(x, F.array(*map(F.lit, names))))
-    most = lambda x, classes: reduce(lambda p, q: p + q, [size(x, names) * F.lit(w) for names, w in classes])
-    enough = lambda x: F.exists(F.array(*[most(x, c) for c in templates]), lambda y: y >= least * least - 1e-6)
-    return F.get(F.transform(F.array(known), enough), F.lit(0))
+def words(text: Column | str) -> Column:
+    return F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+
+
+def may_reach(terms: str, least: float) -> str:
+    """SQL that tells whether a unit's cosine with any template can reach least: no more than the share of its length that
+    lies in the templates' terms, where each other word counts at least once. Computed within the row, so that few
+    units have their words moved. A word is counted by what is missing when it is taken out of all words."""
+    table, unseen = weights()
+    idf = {t: f for _, _, t, _, f in table}
+    known = constant(sorted(idf), "array<string>")
+    times = "(length(j) - length(replace(j, concat(' ', w, ' '), ''))) / (length(w) + 2)"
+    square = f"aggregate(k, 0D, (s, w) -> s + pow({times} * {constant(dict(sorted(idf.items())), 'map<string,double>')}[w], 2))"
+    bound = f"get(transform(array({square}), q -> q >= {least * least - 1e-6!r}D * (q + {unseen * unseen!r}D * (size(array_distinct({terms})) - size(k)))), 0)"
+    return f"get(transform(array(concat(' ', array_join({terms}, '  '), ' ')), j -> get(transform(array(array_intersect({terms}, {known})), k -> {bound}), 0)), 0)"
+
+
+def shares(of: Callable[[], Weights], least: float) -> Needs:
+    """For each template the squared weights of all its terms, and their sum that a text needs to reach least."""
+    templates: dict[int, dict[str, float]] = {}
+    for i, _, t, w, _ in of()[0]:
+        templates.setdefault(i, {})[t] = w * w
+    return [(least * least, mine) for mine in templates.values()]
 
 
 def scores(spots: DataFrame, least: float, of: Callable[[], Weights]) -> DataFrame:
@@ -202,7 +218,7 @@ def scores(spots: DataFrame, least: float, of: Callable[[], Weights]) -> DataFra
     valued = counted.join(known, "term", "left").withColumn("value", F.col("n") * F.coalesce("idf", F.lit(unseen)))
     norms = valued.groupBy("id", "path", "unit", "whole").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "value"))).alias("terms"))
     dots = norms.select("id", "path", "unit", "whole", "norm", F.explode("terms").alias("x")).select("id", "path", "unit", "whole", "norm", "x.term", "x.value").join(templates, "term")
-    scored = dots.groupBy("id", "path", "unit", "whole", "norm", "template", "license").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
+    scored = dots.groupBy("id", "path", "unit", "whole", "norm", "template", "license").agg(F.sum(F.col("value") * F.col("weight")).alias("dot"), F.bool_or(~F.col("term").isin(*sorted(COMMON))).alias("rare")).where("rare")
     return scored.select("id", "path", "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= least)
 
 
@@ -214,22 +230,22 @@ def units(text: Column) -> Column:
 def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", least: float = LEAST) -> DataFrame:
     """(id, path, license, score, origin, inherited_from): origin is own, inherited or null."""
     files = df.select(F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"), F.lower(F.col(text_col).cast("string")).alias("text"))
-    # Words are found once for each text and unit: conditions on them stand inside the array that explode makes rows of.
-    rare = F.array(*map(F.lit, anchors(least)))
-    hopeful = lambda t: F.arrays_overlap(t, rare) & has_share(t, least, largest(weights))
-    likely = files.where(F.exists(F.array(words("text")), hopeful))
-    spots = likely.select("id", "path", "text", F.explode(units(F.col("text"))).alias("unit"))
-    spots = spots.select("id", "path", (F.trim("unit") == F.trim("text")).alias("whole"), F.xxhash64("unit").alias("unit"), F.explode(F.filter(F.array(words("unit")), lambda t: hopeful(t) & may_reach(t, least))).alias("terms"))
-    # Whole texts near whole licences.
-    entire = files.where(reduce(or_, [F.contains("text", F.lit(a)) for a in anchors(WHOLE_LEAST, whole_weights, rare=False)]))
-    near = lambda t: has_share(t, WHOLE_LEAST, largest(whole_weights)) & has_share(t, WHOLE_LEAST, shares(whole_weights))
-    entire = entire.select("id", "path", F.lit(True).alias("whole"), F.xxhash64("text").alias("unit"), F.explode(F.filter(F.array(words("text")), near)).alias("terms"))
-    scored = scores(spots, least, weights).withColumn("part", F.lit(True)).unionByName(scores(entire, WHOLE_LEAST, whole_weights).withColumn("part", F.lit(False)))
+    # One pass over all texts: candidate units, and the whole text if it speaks of licences, with their words. Few are left.
+    need = needs(least)
+    every = shares(whole_weights, WHOLE_LEAST)
+    known = constant(sorted({t for _, mine in every for t in mine}), "array<string>")
+    some = files.withColumn("found", F.expr(rare_terms("text", need))).where("size(found) > 0").withColumn("units", F.when(F.expr(reaches("found", need)), units(F.col("text"))))
+    near = F.expr(f"transform(filter(coalesce(units, array()), u -> {hopeful('u', need)}), u -> struct(true AS part, u AS unit))")
+    entire = F.expr(f"filter(array(struct(false AS part, text AS unit)), x -> arrays_overlap(found, {constant(sorted(SPEAKING), 'array<string>')}))")
+    spots = some.select("id", "path", "text", F.explode(F.concat(near, entire)).alias("x")).select("id", "path", "x.part", (F.trim("x.unit") == F.trim("text")).alias("whole"), F.xxhash64("x.unit").alias("unit"), words("x.unit").alias("terms"))
+    spots = written(spots.where(F.expr(f"CASE WHEN part THEN {may_reach('terms', least)} ELSE {reaches(f'array_intersect(terms, {known})', every)} END")), "spots")
+    scored = scores(spots.where("part"), least, weights).withColumn("part", F.lit(True)).unionByName(scores(spots.where("not part"), WHOLE_LEAST, whole_weights).withColumn("part", F.lit(False)))
     best = F.struct((-F.col("score")).alias("down"), "license")
     own = scored.groupBy("id", "path").agg(F.min(best).alias("x"), *[F.min(F.when(F.col("part") & (F.col("license") == n), best)).alias(n) for n in LONGER.values()], F.max("whole").alias("whole"))
     for short, long in LONGER.items():
         own = own.withColumn("x", F.when(F.col("x.license") == short, F.coalesce(F.col(f"`{long}`"), "x")).otherwise(F.col("x")))
-    own = own.select("id", "path", F.col("x.license").alias("license"), (-F.col("x.down")).alias("score"), "whole")
+    own = written(own.select("id", "path", F.col("x.license").alias("license"), (-F.col("x.down")).alias("score"), "whole"), "own")
+    discard(spots)
     # Directories: of licence files, then of all files, each of these with all its ancestors.
     folder = F.regexp_replace("path", r"/?[^/]*$", "")
     sources = own.where(F.col("path").isNotNull() & (F.col("whole") | F.col("path").rlike(LICENCE_FILE)))
@@ -240,20 +256,24 @@ def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col
     nearest = above.distinct().join(sources, "up").groupBy("dir").agg(F.max(F.struct(F.length("up").alias("depth"), F.col("up"), F.col("x.license").alias("license"), (-F.col("x.down")).alias("score"))).alias("y"))
     nearest = nearest.select("dir", F.col("y.up").alias("up"), F.col("y.license").alias("dir_license"), F.col("y.score").alias("dir_score"))
     own = own.drop("whole").toDF("own_id", "own_path", "own_license", "own_score")
-    out = files.select("id", "path", folder.alias("dir")).join(own, F.col("id").eqNullSafe(F.col("own_id")) & F.col("path").eqNullSafe(F.col("own_path")), "left").join(nearest, "dir", "left")
+    # A directory with very many files is dealt to some keys; directories with a licence above them are few beside files.
+    nearest = nearest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = files.select("id", "path", folder.alias("dir"), F.pmod(F.xxhash64("id", "path"), F.lit(SALTS)).cast("int").alias("salt"))
+    out = out.join(own, F.col("id").eqNullSafe(F.col("own_id")) & F.col("path").eqNullSafe(F.col("own_path")), "left").join(nearest, ["dir", "salt"], "left")
     has, gets = F.col("own_license").isNotNull(), F.col("dir_license").isNotNull()
     return out.select(F.col("id").alias(id_col), F.col("path").alias(path_col), F.coalesce("own_license", "dir_license").alias("license"), F.coalesce("own_score", "dir_score").alias("score"), F.when(has, "own").when(gets, "inherited").alias("origin"), F.when(~has & gets, F.col("up")).alias("inherited_from"))
 
 
-def oracle(documents: str = "documents") -> str:
-    """The same in DuckDB's SQL, for documents with paths source/lang/id."""
+def oracle(path: str, documents: str = "documents") -> str:
+    """The same in DuckDB's SQL, for documents with paths by an expression."""
     table, unseen = weights()
     quote = lambda s: "'" + s.replace("'", "''") + "'"
+    common = ", ".join(map(quote, sorted(COMMON)))
     rows = ", ".join(f"({i}, {quote(n)}, {quote(t)}, {w!r}, {f!r})" for i, n, t, w, f in table)
     return rf"""
         WITH w(template, license, term, weight, idf) AS (VALUES {rows}),
         known AS (SELECT DISTINCT term, idf::DOUBLE AS idf FROM w),
-        f AS (SELECT doc_id, concat_ws('/', source, lang, doc_id) AS path, lower(text) AS text FROM {documents}),
+        f AS (SELECT doc_id, {path} AS path, lower(text) AS text FROM {documents}),
         a AS (SELECT doc_id, path, text, unnest(list_distinct(list_concat(
                   string_split_regex(regexp_replace(text, '([.!?;:])\s+', '\1' || chr(10), 'g'), '\n'),
                   string_split(text, chr(10)), string_split_regex(text, '\n\s*\n')))) AS unit FROM f),
@@ -263,12 +283,12 @@ def oracle(documents: str = "documents") -> str:
         c AS (SELECT doc_id, path, unit, whole, term, count(*) AS n FROM b GROUP BY ALL),
         v AS (SELECT c.*, c.n * coalesce(idf, {unseen!r}::DOUBLE) AS value FROM c LEFT JOIN known USING (term)),
         norms AS (SELECT doc_id, path, unit, whole, sqrt(sum(value * value)) AS norm FROM v GROUP BY ALL),
-        dots AS (SELECT doc_id, path, unit, whole, template, license, sum(value * weight::DOUBLE) AS dot FROM v JOIN w USING (term) GROUP BY ALL),
+        dots AS (SELECT doc_id, path, unit, whole, template, license, sum(value * weight::DOUBLE) AS dot FROM v JOIN w USING (term) GROUP BY ALL HAVING bool_or(term NOT IN ({common}))),
         s AS (SELECT doc_id, path, whole, license, round(dot / norm, 6) AS score FROM dots JOIN norms USING (doc_id, path, unit, whole)
               WHERE round(dot / norm, 6) >= {LEAST}),
         own AS (SELECT doc_id, path, first(license ORDER BY score DESC, license) AS license, max(score) AS score, bool_or(whole) AS whole FROM s GROUP BY ALL),
         src AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS up, first(license ORDER BY score DESC, path) AS license, max(score) AS score
-                FROM own WHERE whole GROUP BY 1),
+                FROM own WHERE whole OR regexp_matches(path, '{LICENCE_FILE}') GROUP BY 1),
         dirs AS (SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS dir FROM f),
         near AS (SELECT dir, first(up ORDER BY length(up) DESC) AS up, first(license ORDER BY length(up) DESC) AS license, first(score ORDER BY length(up) DESC) AS score
                  FROM dirs JOIN src ON up = '' OR dir = up OR starts_with(dir, up || '/') GROUP BY dir)

@@ -17,8 +17,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, tokenizer_path()).select("doc_id", bpe.token_count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+#: Where documents lie: a tree of sources, languages, hundreds and tens; the first of each ten and hundred is named like a licence file.
+PATH = "concat_ws('/', source, lang, 'h' || (doc_id - doc_id % 100), CASE WHEN doc_id % 100 <> 0 THEN 't' || (doc_id - doc_id % 10) END, CASE WHEN doc_id % 10 = 0 THEN 'LICENSE' || CASE WHEN doc_id % 20 = 0 THEN '.txt' ELSE '' END ELSE doc_id || '.txt' END)"
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", "lang", "doc_id").alias("path"), "text"))
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", F.expr(PATH).alias("path"), "text"))
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +101,7 @@ ORACLES: dict[str, str] = {
               FROM v AS q, v WHERE q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id AND len(q.w) = len(v.w)),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
-    "op2_licenses": licenses.oracle(),
+    "op2_licenses": licenses.oracle(PATH),
     "op4_warc": """
         WITH h AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
         f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM h)

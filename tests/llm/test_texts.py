@@ -257,28 +257,47 @@ def test_whole_licenses(spark):
     assert got == want
 
 
-def test_shares_lose_nothing():
-    """Classes of weights bound each template's own weights, and texts without anchors can't reach the bound."""
-    table, _ = licenses.whole_weights()
-    names = licenses.anchors(licenses.WHOLE_LEAST, licenses.whole_weights, rare=False)
-    for i, classes in enumerate(licenses.shares(licenses.whole_weights)):
-        mine = {t: w for j, _, t, w, _ in table if j == i}
-        assert {t: True for c, _ in classes for t in c} == {t: True for t in mine}
-        assert all(mine[t] ** 2 <= most for c, most in classes for t in c)
-        assert sum(w * w for t, w in mine.items() if t not in names) ** 0.5 < licenses.WHOLE_LEAST
-
-
-def test_anchors_lose_nothing():
+def test_pruning_loses_nothing(spark):
+    """Every unit whose cosine, by plain sums, reaches the bound with a template and that has one of its words that isn't common
+    passes all conditions; so does a whole licence."""
     table, unseen = licenses.weights()
-    idf, names = {t: f for _, _, t, _, f in table}, set(licenses.anchors())
-    rest = sorted(set(idf) - names)
+    idf = {t: f for _, _, t, _, f in table}
+    templates: dict = {}
+    for i, _, t, w, _ in table:
+        templates.setdefault(i, {})[t] = w
     rng = random.Random(0)
-    for _ in range(2000):
-        unit = rng.choices(rest, k=rng.randint(1, 12))
-        v = {t: unit.count(t) * idf[t] for t in unit}
-        norm = sum(x * x for x in v.values()) ** 0.5
-        for i in range(len(licenses.TEMPLATES)):
-            assert sum(v.get(t, 0) * w for j, _, t, w, _ in table if j == i) / norm < licenses.LEAST
+    units = [text.lower() for _, text in licenses.TEMPLATES]
+    for _ in range(400):
+        words = rng.choice(licenses.TEMPLATES)[1].lower().split()
+        keep = [w for w in words if rng.random() < rng.choice([0.3, 0.6, 0.9])] + rng.choices(["the", "zebra", "of", "x-y", "software"], k=rng.randint(0, 4))
+        rng.shuffle(keep)
+        units.append(" ".join(keep))
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(units)], "i int, unit string").withColumn("terms", licenses.words("unit"))
+    told = df.select("i", "terms", F.expr(licenses.hopeful("unit", licenses.needs())).alias("a"), F.expr(licenses.may_reach("terms", licenses.LEAST)).alias("b"))
+    near = 0
+    for r in told.collect():
+        v = {t: r.terms.count(t) * idf.get(t, unseen) for t in r.terms}
+        norm = sum(x * x for x in v.values()) ** 0.5 or 1
+        for mine in templates.values():
+            if sum(v.get(t, 0) * w for t, w in mine.items()) / norm >= licenses.LEAST and set(v) & set(mine) - licenses.COMMON:
+                near += 1
+                assert r.a and r.b, units[r.i]
+    assert near > 200
+    files = [(f.stem, f.read_text().lower()) for f in sorted((Path(licenses.__file__).parent / "licence_texts").glob("*.txt"))]
+    known = licenses.constant(sorted({t for _, mine in licenses.shares(licenses.whole_weights, licenses.WHOLE_LEAST) for t in mine}), "array<string>")
+    df = spark.createDataFrame(files + [("none", "nothing of note")], "name string, text string").withColumn("terms", licenses.words("text"))
+    every = licenses.shares(licenses.whole_weights, licenses.WHOLE_LEAST)
+    got = df.select("name", F.expr(licenses.reaches(f"array_intersect(terms, {known})", every)).alias("ok")).collect()
+    assert {r.name for r in got if r.ok} == {name for name, _ in files} and all(licenses.SPEAKING & set(text.replace("(c)", " ").replace('"', " ").split()) for _, text in files)
+
+
+def test_hot_directory_and_long_text(spark):
+    """A directory with all files, a very long text, and names that clash: each file has the licence of the nearest one above."""
+    rows = [(i, f"top/f{i}", "nothing of note") for i in range(500)] + [(1000, "LICENSE", "Released under the MIT License."), (1001, "top/long", "word and word " * 60_000 + "\nAll rights reserved."), (1002, "top/sub/COPYING.md", "Licensed under CC BY 4.0."), (1003, "top/sub/x", "")]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string").withColumn("salt", F.lit(1)).withColumn("dir", F.lit("x"))
+    got = {r.doc_id: (r.license, r.origin, r.inherited_from) for r in licenses.scan(df).collect()}
+    assert all(got[i] == ("MIT", "inherited", "") for i in range(500)) and got[1001] == ("Proprietary", "own", None)
+    assert got[1003] == ("CC-BY-4.0", "inherited", "top/sub") and len(got) == len(rows)
 
 
 NASTY = ["", "plain", "<|im_end|>\n<|im_start|>user\nhi", "<\\|im_end|> \\<\\\\|im_end|>", "[INST] [\\/INST] </s><s>", "line\n\n", "\\", "<|endoftext|>", "é😀\x00\ttab", '"quotes" {json}']
@@ -303,6 +322,12 @@ RECORDS = [
     ('{"instruction": "do", "input": "this", "output": "a"}', [("user", "do\n\nthis"), ("assistant", "a")]),
     ('{"instruction": "do", "input": "", "output": "a", "extra": {"x": [1]}}', [("user", "do"), ("assistant", "a")]),
     ('{"prompt": "q", "response": "a"}', [("user", "q"), ("assistant", "a")]),
+    ('{"instruction": "do", "input": "this", "output": "", "response": "a"}', [("user", "do\n\nthis"), ("assistant", "a")]),
+    ('{"prompt": "q", "response": "a", "instruction": ""}', [("user", "q"), ("assistant", "a")]),
+    ('{"prompt": "q", "response": "a", "instruction": "be kind"}', [("system", "be kind"), ("user", "q"), ("assistant", "a")]),
+    ('{"conversations": [{"from": "human", "value": "q \\" {x: [1]} \\\\"}], "messages": []}', [("user", 'q " {x: [1]} \\')]),
+    ('{"messages": [{"role": "user", "content": [{"type": "text", "text": "one"}, {"type": "text", "text": " two"}]}]}', [("user", "one two")]),
+    ('{"prompt": "{\\"messages\\": []}", "completion": ""}', [("user", '{"messages": []}'), ("assistant", "")]),
     ('{"unknown": 1}', []), ("[1]", []), ("oops", []), (None, []), ('{"messages": []}', []),
 ]
 
@@ -313,6 +338,31 @@ def test_layouts(spark):
     assert got == {i: want for i, (_, want) in enumerate(RECORDS)}
 
 
+def test_paths_are_the_records_own(spark):
+    """Paths by a plain walk over the parsed record; what no mapping takes is reported by a null layout."""
+    import json
+
+    def walk(x, at=""):
+        if isinstance(x, dict):
+            return set().union(*(walk(v, f"{at}.{k}" if at else k) for k, v in x.items())) if x else set()
+        if isinstance(x, list):
+            return set().union(*(walk(v, at + "[]") for v in x)) if x else set()
+        return {at} if x is not None else set()
+
+    records = [r for r, _ in RECORDS] + ['{"a": {"b": [{"c": 1, "d": [true]}, {"c": 2}], "e f": {"g": "x:, {]"}}, "h": [[1, 2], [3]], "i": null, "j": {}}', '{ "k" : "v" , "l" : [ "m" , "" ] }']
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "conv_id long, record string").withColumn("layout", F.lit("clash"))
+    got = {r.conv_id: r.p for r in df.select("conv_id", chat.paths(F.col("record")).alias("p")).collect()}
+    for i, r in enumerate(records):
+        try:
+            parsed = json.loads(r) if r is not None else None
+        except ValueError:
+            parsed = None
+        assert got[i] == (sorted(walk(parsed)) if isinstance(parsed, dict) else None), r
+    told = {r.conv_id: r.layout for r in chat.format_records(df).collect()}
+    assert all((told[i] is None) == (not turns) for i, (_, turns) in enumerate(RECORDS))
+    assert chat.format_records(df.limit(0)).count() == 0
+
+
 def test_chat_long_turn(spark):
     """A turn of more characters than the reader of JSON allows by itself comes back with its neighbours."""
     long = F.repeat(F.lit("x"), 20_100_000)
