@@ -6,7 +6,9 @@ second attempt leaves behind is never read.
 
 Reading: archives are dealt out as byte ranges. A task looks for gzip magic from the start of its range,
 takes a candidate only if what follows inflates to WARC headers, and owns the records that start inside
-its range, reading beyond its end to finish the last one.
+its range, reading beyond its end to finish the last one. Where a record has to begin, behind another or at the start
+of an archive, and none can be read, whether broken or cut short, that is an error, or on request a row of type
+``damaged`` with its place; what can be read behind it is.
 
 Of records with equal payloads of at least ``least`` bytes, the one with the smallest id is a response
 and holds the payload; others are revisits of it, with the payload's digest and length in their headers.
@@ -32,6 +34,7 @@ from .common import fresh_folder, written
 
 SPLIT = 8 << 20  # bytes of archive a reading task gets
 MAGIC = b"\x1f\x8b\x08"
+HEAD = 1 << 16  # bytes that show whether a record begins
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 READ = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary, archive string, at bigint"
 
@@ -108,7 +111,7 @@ class Window:
     BLOCK = 1 << 18
 
     def __init__(self, file, at: int):
-        self.file, self.base, self.data = file, at, b""
+        self.file, self.base, self.data = file, at, bytearray()
         file.seek(at)
 
     def more(self) -> bool:
@@ -117,9 +120,19 @@ class Window:
         return bool(block)
 
     def drop(self, at: int) -> None:
-        self.data = self.data[at - self.base :]
+        del self.data[: at - self.base]
         self.base = at
 
+    def head(self, at: int) -> bytes:
+        return bytes(self.data[at - self.base : at - self.base + HEAD])
+
+    def begins_record(self, at: int) -> bool:
+        """Whether a record begins at a place, as far as its headers tell."""
+        told = is_record(self.head(at))
+        while told is None and self.more():
+            told = is_record(self.head(at))
+        return bool(told)
+
 
 def header_of(data: bytes) -> dict[str, str] | None:
     """The WARC headers at the start of inflated data, if it begins with them and has them whole."""
@@ -137,17 +150,18 @@ def is_record(data: bytes) -> bool | None:
     """Whether a gzip member that begins here inflates to WARC headers; None if it takes more bytes to tell."""
     inflate = zlib.decompressobj(31)
     try:
-        head = inflate.decompress(data[:65536], 1 << 16)
+        head = inflate.decompress(data[:HEAD], HEAD)
     except zlib.error:
         return False
     if header_of(head):
         return True
     starts = head[:7] == b"WARC/1."[: len(head)]
-    return None if starts and not inflate.eof and len(head) < 1 << 16 and len(data) < 65536 else False
+    return None if starts and not inflate.eof and len(head) < HEAD and len(data) < HEAD else False
 
 
-def records(file, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, block) of the records that start in [start, end)."""
+def records(file, start: int, end: int) -> Iterator[tuple[int, dict[str, str] | None, bytes]]:
+    """(offset, headers, block) of the records that start in [start, end); null headers where one should and can't be read.
+    Whether a record begins behind the last one, even beyond the end, is told by the task that read that one."""
     w, at, sure = Window(file, start), start, start == 0
     while at < end:
         if not sure:  # look for a member, byte by byte of magic
@@ -161,10 +175,7 @@ def records(file, start: int, end: int) -> Iterator[tuple[int, dict[str, str], b
             at = w.base + found
             if at >= end:
                 return
-            told = is_record(w.data[found:])
-            while told is None and w.more():
-                told = is_record(w.data[at - w.base :])
-            if not told:
+            if not w.begins_record(at):
                 at += 1
                 continue
             sure = True
@@ -174,30 +185,36 @@ def records(file, start: int, end: int) -> Iterator[tuple[int, dict[str, str], b
             while not inflate.eof:
                 if used >= len(w.data) and not w.more():
                     break
-                block = w.data[used:]
+                block = bytes(w.data[used:])
                 out.append(inflate.decompress(block))
                 used += len(block) - len(inflate.unused_data)
         except zlib.error:
             out = []
-        head = header_of(b"".join(out)) if inflate.eof else None
+        data = b"".join(out)
+        head = header_of(data) if inflate.eof else None
         if head is None:
             if not w.data:
                 return
-            at, sure = at + 1, False  # no member here after all, or a broken one
+            yield at, None, b""
+            at, sure = at + 1, False
             continue
-        data, body = b"".join(out), int(head[""])
+        body = int(head[""])
         yield at, head, data[body : body + int(head["Content-Length"])]
         at += used
+    if sure:
+        w.drop(at)
+        if (w.data or w.more()) and not w.begins_record(at):
+            yield at, None, b""
 
 
 def page_of(value: str | None) -> int | None:
     return int(value[10:-1]) if value and value.startswith("<urn:page:") else None
 
 
-def read(archives: DataFrame, split: int = SPLIT, payloads: bool = True) -> DataFrame:
+def read(archives: DataFrame, split: int = SPLIT, payloads: bool = True, report: bool = False) -> DataFrame:
     """A row for each record of the archives, in columns ``READ``; without payloads they are checked, but
     don't come along. The payload of a revisit is null; its
-    digest and length are the full payload's all the same."""
+    digest and length are the full payload's all the same. report: what can't be read is a row of type damaged, not an error."""
     ranges = archives.select("archive", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split).cast("bigint"))).alias("start"))
     ranges = ranges.select("archive", "start", F.least("size", F.col("start") + split).alias("end"))
     ranges = ranges.repartition(max(1, archives.sparkSession.sparkContext.defaultParallelism * 4), "archive", "start")
@@ -210,6 +227,11 @@ def read(archives: DataFrame, split: int = SPLIT, payloads: bool = True) -> Data
                 rows, held = [], 0
                 with files.open_input_file(path) as f:
                     for at, head, block in records(f, x["start"], x["end"]):
+                        if head is None:
+                            if not report:
+                                raise ValueError(f"{x['archive']} at {at}: no record can be read")
+                            rows.append((None, None, "damaged", None, None, None, None, x["archive"], at))
+                            continue
                         http, _, payload = block.partition(b"\r\n\r\n")
                         size = next((int(v) for k, v in (y.split(": ", 1) for y in http.decode("latin-1").split("\r\n")[1:]) if k == "Content-Length"), len(payload))
                         digest = head.get("WARC-Payload-Digest", "").removeprefix("sha1:")

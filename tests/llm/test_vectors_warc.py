@@ -119,4 +119,42 @@ def test_every_byte_range_owns_its_records():
         found = [at for a in range(0, len(data), size) for at, _, _ in warc.records(io.BytesIO(data), a, min(len(data), a + size))]
         assert found == starts
     noise = gzip.compress(b"not a record") + data[: starts[3]] + b"\x1f\x8b\x08broken" + data[starts[3] :]
-    assert len([*warc.records(io.BytesIO(noise), 0, len(noise))]) == len(members)
+    told = [*warc.records(io.BytesIO(noise), 0, len(noise))]
+    assert sum(head is not None for _, head, _ in told) == len(members) and sum(head is None for _, head, _ in told) == 2
+
+
+def test_damage_is_told_once():
+    """A record with a broken head or body, or an archive cut short: told by exactly one range, whatever the ranges are."""
+    members = [warc.record("response", i, "u", bytes(range(256)) * (i + 1), warc.digest32(b""), i, None) for i in range(6)]
+    starts = [sum(map(len, members[:i])) for i in range(len(members))]
+    whole = b"".join(members)
+    for bad in range(6):
+        for harm in ("head", "body", "cut"):
+            at = starts[bad]
+            if harm == "head":
+                data = whole[:at] + b"\x00\x00\x00" + whole[at + 3 :]
+            elif harm == "body":
+                spot = at + len(members[bad]) - 6  # the checksum
+                data = whole[:spot] + bytes([whole[spot] ^ 255]) + whole[spot + 1 :]
+            elif bad == 5:
+                data = whole[:-8]
+            else:
+                continue
+            for size in (50, 333, 1000, len(data)):
+                told = [(a, head is None) for x in range(0, len(data), size) for a, head, _ in warc.records(io.BytesIO(data), x, min(len(data), x + size))]
+                assert sorted(a for a, lost in told if not lost) == starts[:bad] + starts[bad + 1 :], (bad, harm, size)
+                assert [a for a, lost in told if lost] == [at], (bad, harm, size)
+
+
+def test_large_record_and_report(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "x" * 3_000_000 + "é"), (2, "u", None), (3, "u", "short")], "page_id long, url string, html string").coalesce(1)
+    archives = warc.write(df)
+    assert {(r.page_id, r.payload_bytes) for r in warc.read(archives, 1000).collect()} == {(1, 3_000_002), (2, 0), (3, 5)}
+    path = archives.first().archive.removeprefix("file://").removeprefix("file:")
+    data = open(path, "rb").read()
+    open(path, "wb").write(data[:-8])
+    short = archives.withColumn("size", F.col("size") - 8)
+    told = sorted((r.record_type, r.page_id) for r in warc.read(short, report=True).collect())
+    assert [kind for kind, _ in told] == ["damaged", "response", "response"] and told[0][1] is None  # the last of the three is lost
+    with pytest.raises(Exception, match="no record can be read"):
+        warc.read(short).collect()
