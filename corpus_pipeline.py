@@ -3,7 +3,7 @@ of near duplicates stays, and what is left is packed into sequences.
 
 Each stage works on all rows that the one before it kept, written as Parquet and read back. Stages but the
 last return the columns of their input. Rows with a null id pass the near-duplicate stage; of rows that
-repeat an id, it keeps one. Empty tables pass through all stages.
+repeat an id and text, it keeps one. Empty tables pass through all stages.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = minhash.groups(docs).where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(first, "doc_id", "left_semi").withColumn("_same", F.xxhash64("text")).dropDuplicates(["doc_id", "_same"])
     return kept.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
