@@ -117,12 +117,10 @@ def stitch_pages(t):
     return segments.stitch(blocks, ["page"])
 
 
-@query(f"WITH {ORDERS} SELECT page // 8 AS doc_id, page AS page_index, string_agg(CASE WHEN rn % 7 = 1 THEN split_part(line, chr(10), 1) || chr(10) || chr(10) || upper(split_part(line, chr(10), 2)) ELSE upper(line) END, CASE WHEN true THEN chr(10) END ORDER BY rn) AS draft FROM o WHERE rn <= 7 GROUP BY ALL")
+@query(f"WITH {ORDERS} SELECT page // 8 AS doc_id, page AS page_index, string_agg(CASE WHEN rn % 7 = 1 THEN CASE WHEN rn > 1 THEN chr(10) || chr(10) ELSE '' END || split_part(line, chr(10), 1) || chr(10) || chr(10) || upper(split_part(line, chr(10), 2)) ELSE chr(10) || upper(line) END, '' ORDER BY rn) AS draft FROM o GROUP BY ALL")
 def polish_chunks(t):
-    """Drafts of an order's first lines through a model that writes capitals; marks stay where they are."""
-    first = order_lines(t).where("rn <= 7").groupBy("page").agg(F.array_sort(F.collect_list(F.struct("rn", "line"))).alias("x"))
-    found = first.select(F.floor(F.col("page") / 8).alias("doc_id"), F.col("page").alias("page_index"), F.array_join(F.transform("x", lambda x: x["line"]), "\n").alias("draft"))
-    return segments.polish(found, ["doc_id", "page_index"], str.upper)
+    """Drafts through a model that writes capitals; marks stay where they are."""
+    return segments.polish(order_drafts(t), ["doc_id", "page_index"], str.upper)
 
 
 @query(r"""SELECT p_partkey, '\documentclass{a}' || chr(10) || '\usepackage{x}' || chr(10) || CASE WHEN p_size % 2 = 0 THEN '\usepackage{longtable,array}' || chr(10) ELSE '' END || '\begin{document}' || chr(10) || 'Part ' || p_partkey || chr(10) || chr(10) || '$\frac{' || p_partkey || '}{b}$ $$' || chr(10) || 'x^{2}' || chr(10) || '$$ '
