@@ -4,7 +4,9 @@ Unit vectors with cosine c are sqrt(2 - 2c) apart, and a projection on orthogona
 apart. Vectors are sorted by the cells of a grid of side epsilon on the leading principal axes. The sorted
 sequence is cut into intervals, tiles and blocks with bounding boxes; pairs of intervals are halved
 recursively, and halves whose boxes are provably further apart than epsilon are skipped. What is left is
-compared by matrix products of tile and tile.
+compared by matrix products of tile and tile. Runs of neighbouring intervals are blocks of about ``SIDE`` tiles, and a task
+gets the tiles of two blocks with the pairs to compare, so that a tile is moved once for each block it meets, not for
+each tile.
 
 Copies are joined first: a class of equal vectors goes through the join once, with its number of rows.
 Tasks hand on, besides each class's number of links, only a star of each component that they see.
@@ -29,7 +31,8 @@ from .common import discard, written
 from .components import components, local_labels
 from .tiles import matrix, tile, usable
 
-TILE, BLOCK, INTERVALS, AXES, SAMPLE = 2048, 128, 512, 8, 4096
+TILE, BLOCK, INTERVALS, AXES, SAMPLE = 2048, 128, 1024, 8, 4096
+SIDE, HELD = 8, 32 << 20  # tiles of a block, and bytes that they may take
 
 
 def boxes(points: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,41 +135,50 @@ def join(df: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col:
     gap = lambda lo, hi: F.zip_with(lo, hi, lambda x, y: F.greatest(F.lit(0.0), x - y))
     sq = lambda arr: F.aggregate(arr, F.lit(0.0), lambda s, x: s + x * x)
     pairs = wanted.join(a, "ia").join(b, "ib").where("ta <= tb and da = db").where(sq(gap(F.col("lb"), F.col("ha"))) + sq(gap(F.col("la"), F.col("hb"))) <= far).select("ta", "tb")
-    data = lambda s: tiles.select(F.col("tile").alias(f"t{s}"), F.col("n").alias(f"{s}_n"), F.col("ids").alias(f"{s}_ids"), F.col("data").alias(f"{s}_data"))
-    pairs = pairs.join(data("a"), "ta").join(data("b"), "tb")
-
-    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            for x in batch.to_pylist():
-                ids_a, data_a = matrix(x, "a_")
-                ids_b, data_b = matrix(x, "b_")
-                same = x["ta"] == x["tb"]
-                ua, ub = units(data_a), units(data_b)
-                found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                blocks: dict[int, list[int]] = {}
-                for i, j in near_pairs(boxes(project(ua, axes), BLOCK), boxes(project(ub, axes), BLOCK), far, same):
-                    blocks.setdefault(i, []).append(j)
-                for i, js in blocks.items():
-                    cols = np.concatenate([np.arange(j * BLOCK, min((j + 1) * BLOCK, len(ub))) for j in js])
-                    p, q = np.nonzero(ua[i * BLOCK : (i + 1) * BLOCK] @ ub[cols].T >= least - 1e-9)
-                    p, q = p + i * BLOCK, cols[q]
-                    if same:
-                        p, q = p[p < q], q[p < q]
-                    close = cosine(data_a[p], data_b[q]) >= least
-                    found_a.append(p[close])
-                    found_b.append(q[close])
-                p, q = np.concatenate(found_a), np.concatenate(found_b)
-                if not len(p):
-                    continue
-                count_a = np.bincount(p, weights=ids_b[1][q], minlength=len(ua))
-                count_b = np.bincount(q, weights=ids_a[1][p], minlength=len(ub))
-                nodes, tops = local_labels(ids_a[0][p], ids_b[0][q])
-                star = nodes != tops
-                one = np.concatenate([ids_a[0][count_a > 0], ids_b[0][count_b > 0], nodes[star]])
-                two = np.concatenate([count_a[count_a > 0], count_b[count_b > 0], tops[star]]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(one)) >= len(one) - int(star.sum())), pa.array(one), pa.array(two)], ["edge", "u", "v"])
-
-    found = written(pairs.mapInArrow(compare, "edge boolean, u bigint, v bigint"), "links")
+    # Blocks: runs of intervals with about SIDE tiles, fewer if vectors are long.
+    dim = max(axes, default=1)
+    side = max(1, min(SIDE, HELD // (TILE * max(1, dim) * 8)) * intervals * TILE // max(n, intervals * TILE))
+    block = lambda c: F.floor(F.shiftright(c, 32) / side)
+    placed_pairs = pairs.select(block("ta").alias("ba"), block("tb").alias("bb"), "ta", "tb")
+    none = F.array().cast("array<bigint>")
+    needed = placed_pairs.groupBy("ba", "bb", F.col("ta").alias("tile")).agg(F.collect_list("tb").alias("with")).unionByName(placed_pairs.select("ba", "bb", F.col("tb").alias("tile"), none.alias("with")).distinct())
+    needed = needed.groupBy("ba", "bb", "tile").agg(F.flatten(F.collect_list("with")).alias("with"))
+    dealt = needed.join(tiles.select("tile", "n", "ids", "data"), "tile")
+
+    def meet(ids_a: np.ndarray, data_a: np.ndarray, ids_b: np.ndarray, data_b: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(whether a row is a link of components, u, v): links of two tiles, else (class, links)."""
+        ua, ub = units(data_a), units(data_b)
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        blocks: dict[int, list[int]] = {}
+        for i, j in near_pairs(boxes(project(ua, axes), BLOCK), boxes(project(ub, axes), BLOCK), far, same):
+            blocks.setdefault(i, []).append(j)
+        for i, js in blocks.items():
+            cols = np.concatenate([np.arange(j * BLOCK, min((j + 1) * BLOCK, len(ub))) for j in js])
+            p, q = np.nonzero(ua[i * BLOCK : (i + 1) * BLOCK] @ ub[cols].T >= least - 1e-9)
+            p, q = p + i * BLOCK, cols[q]
+            if same:
+                p, q = p[p < q], q[p < q]
+            close = cosine(data_a[p], data_b[q]) >= least
+            found_a.append(p[close])
+            found_b.append(q[close])
+        p, q = np.concatenate(found_a), np.concatenate(found_b)
+        if not len(p):
+            return None
+        count_a = np.bincount(p, weights=ids_b[1][q], minlength=len(ua))
+        count_b = np.bincount(q, weights=ids_a[1][p], minlength=len(ub))
+        nodes, tops = local_labels(ids_a[0][p], ids_b[0][q])
+        star = nodes != tops
+        one = np.concatenate([ids_a[0][count_a > 0], ids_b[0][count_b > 0], nodes[star]])
+        two = np.concatenate([count_a[count_a > 0], count_b[count_b > 0], tops[star]]).astype(np.int64)
+        return np.arange(len(one)) >= len(one) - int(star.sum()), one, two
+
+    def compare(rows: pa.Table) -> pa.Table:
+        held = {x["tile"]: (*matrix(x), x["with"]) for x in rows.select(["tile", "n", "ids", "data", "with"]).to_pylist()}
+        parts = [m for a, (ids, data, partners) in held.items() for b in partners if (m := meet(ids, data, *held[b][:2], a == b)) is not None]
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        return pa.table({"edge": pa.array(columns[0], pa.bool_()), "u": pa.array(columns[1], pa.int64()), "v": pa.array(columns[2], pa.int64())})
+
+    found = written(dealt.groupBy("ba", "bb").applyInArrow(compare, "edge boolean, u bigint, v bigint"), "links")
     links = found.where("not edge").groupBy(F.col("u").alias("id")).agg(F.sum("v").alias("others"))
     parts = components(found.where("edge").select("u", "v")).toDF("id", "component")
     told = classes.join(links, "id", "left").join(parts, "id", "left").select("vector", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
