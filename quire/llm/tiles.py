@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +16,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))), F.lit(False))
 
 
-def tile(df: DataFrame, size: int, extra: str | None = None) -> DataFrame:
+def tile(df: DataFrame, size: int, extra: str | None = None, most: int | None = None, pack: Callable[[np.ndarray], np.ndarray] = lambda data: data) -> DataFrame:
     """(tile, dim, n, ids, data): each task's rows, in their order, in tiles of at most size vectors of one
     dimension. df: (id bigint, vector array<double>[, extra bigint]); ids and data are little-endian
-    64-bit numbers, ids with extra behind them."""
+    64-bit numbers, ids with extra behind them. most: bytes of doubles in a tile, but for one vector that
+    is larger. pack: the data in another type of numbers."""
+
+    def vectors(dim: int) -> int:
+        return size if most is None else max(1, min(size, most // (8 * max(1, dim))))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_tile = TaskContext.get().partitionId() << 32
@@ -29,11 +33,11 @@ def tile(df: DataFrame, size: int, extra: str | None = None) -> DataFrame:
             nonlocal next_tile
             ids = np.concatenate([x for x, _ in held[dim]])
             data = np.concatenate([x for _, x in held[dim]])
-            at = 0
-            while at < len(ids) and (whole or len(ids) - at >= size):
-                a, b = ids[at : at + size], data[at : at + size]
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next_tile, dim, len(a), a.T.tobytes(), b.tobytes())], ["tile", "dim", "n", "ids", "data"])
-                at, next_tile = at + size, next_tile + 1
+            at, full = 0, vectors(dim)
+            while at < len(ids) and (whole or len(ids) - at >= full):
+                a, b = ids[at : at + full], data[at : at + full]
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (next_tile, dim, len(a), a.T.tobytes(), pack(b).tobytes())], ["tile", "dim", "n", "ids", "data"])
+                at, next_tile = at + full, next_tile + 1
             held[dim] = [(ids[at:], data[at:])] if at < len(ids) else []
 
         for b in parts:
@@ -45,7 +49,7 @@ def tile(df: DataFrame, size: int, extra: str | None = None) -> DataFrame:
                 at = np.flatnonzero(dims == dim)
                 rows = flat[(ends[at] - dim)[:, None] + np.arange(dim)] if dim else np.zeros((len(at), 0))
                 held.setdefault(dim, []).append((ids[at], rows))
-                if sum(len(x) for x, _ in held[dim]) >= size:
+                if sum(len(x) for x, _ in held[dim]) >= vectors(dim):
                     yield from out(dim, False)
         for dim in [*held]:
             if held[dim]:

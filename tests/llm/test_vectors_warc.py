@@ -47,6 +47,28 @@ def test_topk_beyond_doubles_and_empty(spark):
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("held", [2000, 1 << 30])
+def test_topk_without_broadcast(spark, monkeypatch, held):
+    """Many more shard tiles than leaves, and queries in several parts: no table goes through the driver, whatever
+    its estimated size. Numbers of all widths side by side, exact in each."""
+    for name, value in {"SHARD": 5, "QUERIES": 4, "LEAVES": 6, "FAN": 4, "HELD": held, "TILE_BYTES": 96}.items():
+        monkeypatch.setattr(topk, name, value, raising=False)
+    rng = np.random.RandomState(7)
+    rows = [(i, [float(rng.choice([1, 2**9, 2**20, 2**26]) * rng.randint(-9, 10) + rng.randint(-3, 4)) for _ in range(3)]) for i in range(300)]
+    rows += [(400 + i, rows[0][1]) for i in range(40)] + [(600, [1.0]), (610, [2.0]), (700, []), (710, []), (720, [3.0] * 4)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    out = topk.search(df.where("id % 10 = 0"), df, 7)
+    got = [tuple(r) for r in out.collect()]
+    want = set()
+    for q, v in rows:
+        if q % 10 == 0:
+            scored = sorted((-sum(int(x) * int(y) for x, y in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v))
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:7])}
+    assert set(got) == want and len(got) == len(want)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+
+
 @pytest.mark.parametrize("tile,block", [(2048, 128), (9, 2)])
 def test_grid_join(spark, monkeypatch, tile, block):
     monkeypatch.setattr(gridjoin, "TILE", tile)
