@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, latex, text
 from ..operators import dataset, layout, manifest, runs, seams, segments, vectors
-from ..session import ship
+from ..session import ship, spread
 from ..sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,8 +45,10 @@ ORDERS = f"o AS (SELECT *, {LINE} AS line FROM ({PLACED}))"
 
 
 def order_lines(t) -> DataFrame:
-    by = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    placed = t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), F.row_number().over(by).alias("rn"))
+    # Named before they are dealt, so that windows and groups of pages share one shuffle; what readers do with a page then takes
+    # longer than its bytes tell, so pages are dealt to as many tasks as there are shuffle partitions.
+    lines = spread(t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), "l_linenumber", "l_quantity", "l_extendedprice"), "page")
+    placed = lines.select("page", "p", "s", F.row_number().over(Window.partitionBy("page").orderBy("l_linenumber", "p", "s", "l_quantity", "l_extendedprice")).alias("rn"))
     return placed.withColumn("line", F.expr(LINE.replace("'\\feac", "r'\\feac")))
 
 

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str = "local[8]", partitions: int = 8, **conf: str) -> SparkSession:
@@ -17,6 +17,12 @@ def session(master: str = "local[8]", partitions: int = 8, **conf: str) -> Spark
     return builder.getOrCreate()
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys to a number of tasks that adaptive plans don't lower: for work that takes long for its bytes."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *keys)
+
+
 _shipped: set[str] = set()
 
 
