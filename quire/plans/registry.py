@@ -104,7 +104,7 @@ def table_cells(t):
     """Cells of a Markdown row with a break, of a LaTeX row, and of list items, without the markup around them."""
     key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
     table = F.concat(F.lit("\\begin{table}[h]\n| Part "), key, F.lit(" | size "), size, F.lit("<br/>b |\n| --- | :---: |\n\\end{table}\\begin{tabular}{|c|c|}\\hline c "), key, F.lit(" & d \\\\ \\end{tabular}\n\\begin{itemize}\n\\item[1] e\n\\item f\n\\end{itemize}"))
-    return t("part").select("p_partkey", F.posexplode(segments.linear_lines(table)).alias("pos", "cell")).withColumn("pos", F.col("pos").cast("bigint"))
+    return spread(t("part"), "p_partkey").select("p_partkey", F.posexplode(segments.linear_lines(table)).alias("pos", "cell")).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 #: Blocks glued: an option and its body on one line, all else parted by blank lines, one mark at a page's begin.
@@ -132,7 +132,8 @@ def sanitize_tex(t):
     key, even = F.col("p_partkey").cast("string"), F.col("p_size") % 2 == 0
     env = F.when(even, "longtable").otherwise("tabular")
     tex = F.concat(F.lit("<|im_start|>\\documentclass{a}\n\\usepackage{x}\n\\begin{document}\nPart "), key, F.lit("<br>$"), key, F.lit("/b$ $$x²$$ \\begin{"), env, F.lit("}{c}$$y₁$$<BR />{p \\\\ q}\\end{"), env, F.lit("}"), F.when(F.col("p_partkey") % 3 == 0, " costs $5\n").otherwise("\n"), F.lit("\\end{document}</box>"))
-    return t("part").select("p_partkey", latex.sanitize_tex(tex).alias("tex"))
+    # A part is few bytes, so readers would put its whole table in a few tasks.
+    return spread(t("part"), "p_partkey").select("p_partkey", latex.sanitize_tex(tex).alias("tex"))
 
 
 @query(r"""WITH f AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN '\feac{1}{' || p_partkey || '}' WHEN 1 THEN '\frac{a}{b}\\ ' || p_name WHEN 2 THEN 'x=1分' WHEN 3 THEN '1M' WHEN 4 THEN '\hline x' WHEN 5 THEN '\dfrac {a}{b \\ ' || p_partkey || '}' ELSE p_name END AS body FROM part)
@@ -146,7 +147,7 @@ def integrity_status(t):
 @query(r"""SELECT p_partkey, '\frac{' || p_partkey || ' + b}{c} - d = x^{2} \frac{7}{' || p_size || '}' AS t FROM part""")
 def slash_fractions(t):
     body = F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(" + b / c - d = x² 7/"), F.col("p_size").cast("string"))
-    return t("part").select("p_partkey", latex.text_udf(latex.fix_math)(body).alias("t"))
+    return spread(t("part"), "p_partkey").select("p_partkey", latex.text_udf(latex.fix_math)(body).alias("t"))
 
 
 # -- documents as page drafts: whole texts with a formula, a mark note and a panel mark behind them --------
