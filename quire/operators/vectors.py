@@ -97,11 +97,11 @@ def wrong_size(table: DataFrame, dim: int, vector: str = "vector") -> DataFrame:
     return table.where(F.col(vector).isNull() | (F.size(vector) != dim))
 
 
-TILE, FAN = 2048, 64  # vectors of a tile; lists merged at a time
+TILE, FAN, STRIP, TILE_BYTES = 2048, 64, 256, 2 << 20  # vectors of a tile; lists merged at a time; queries of a product; a tile's bytes, but for one vector
 
 
 def tiles(rows: DataFrame, size: int = TILE) -> DataFrame:
-    """(dim, ids, data): rows (id bigint, vector array<double>) in tiles of at most size vectors of one dimension."""
+    """(dim, ids, data): rows (id bigint, vector array<double>) in tiles of at most size vectors of one dimension, and TILE_BYTES."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -115,8 +115,8 @@ def tiles(rows: DataFrame, size: int = TILE) -> DataFrame:
             base = edge[0]
             for i, name in enumerate(b.column(0).to_pylist()):
                 dim = int(edge[i + 1] - edge[i])
-                held.setdefault(dim, []).append((name, flat[edge[i] - base : edge[i + 1] - base]))
-                if len(held[dim]) == size:
+                held.setdefault(dim, []).append((name, flat[edge[i] - base : edge[i + 1] - base].copy()))  # else a vector of a rare dimension holds its whole batch
+                if len(held[dim]) == max(1, min(size, TILE_BYTES // (8 * max(1, dim)))):
                     yield out(dim)
         for dim in [*held]:
             yield out(dim)
@@ -124,6 +124,38 @@ def tiles(rows: DataFrame, size: int = TILE) -> DataFrame:
     return rows.mapInArrow(run, "dim int, ids binary, data binary")
 
 
+def best_of(own: np.ndarray, asked: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query ids, ids, scores): the k best points of each query, strip by strip of the queries. ids are in order."""
+    for at in range(0, len(own), STRIP):
+        here = own[at : at + STRIP]
+        scores = np.round(asked[at : at + STRIP] @ points.T, 12)
+        scores[here[:, None] == ids[None, :]] = -np.inf
+        wanted = scores > -np.inf
+        if len(ids) > k:
+            wanted &= scores >= np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
+        row, col = np.nonzero(wanted)
+        found = scores[row, col]
+        order = np.lexsort((col, -found, row))
+        row, col, found = row[order], col[order], found[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        yield here[row[keep]], ids[col[keep]], found[keep]
+
+
+def products(parts: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(query_id, id, score, leaf) of pairs of tiles, one pair after the other; numbers are read where they lie in the batch."""
+    unit = lambda m: m / np.sqrt((m * m).sum(1, keepdims=True))
+    for b in parts:
+        at = {c: b.schema.get_field_index(c) for c in b.schema.names}
+        for i in range(b.num_rows):
+            raw = lambda c, kind: np.frombuffer(b.column(at[c])[i].as_buffer(), kind)  # noqa: B023, E731
+            dim, leaf = (b.column(at[c])[i].as_py() for c in ("dim", "leaf"))
+            own, ids = raw("q_ids", np.int64), raw("ids", np.int64)
+            order = np.argsort(ids, kind="stable")
+            points = unit(raw("data", np.float64).reshape(-1, dim))[order]
+            for query, near, score in best_of(own, unit(raw("q_data", np.float64).reshape(-1, dim)), ids[order], points, k):
+                yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(near), pa.array(score), pa.array(np.full(len(query), leaf, np.int32))], ["query_id", "id", "score", "leaf"])
+
+
 def top_k(queries: DataFrame, table: DataFrame, k: int, key: str = "id", vector: str = "vector") -> DataFrame:
     """(query_id, rank, id, score): the k points nearest to each query by cosine, but for the query itself; ties go to
     the smaller id. Scores are in double precision, rounded to 12 places, so that equal vectors tie.
@@ -137,21 +169,7 @@ def top_k(queries: DataFrame, table: DataFrame, k: int, key: str = "id", vector:
     asked = tiles(rows(queries)).select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(leaves - 1))).alias("leaf"))
     points = tiles(rows(table)).withColumn("leaf", F.pmod(F.xxhash64("ids"), F.lit(leaves)).cast("int"))
 
-    def product(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
-            for x in b.to_pylist():
-                own, ids = (np.frombuffer(x[c], np.int64) for c in ("q_ids", "ids"))
-                unit = [m / np.sqrt((m * m).sum(1, keepdims=True)) for m in (np.frombuffer(x[c]).reshape(-1, x["dim"]) for c in ("q_data", "data"))]
-                order = np.argsort(ids, kind="stable")
-                ids, scores = ids[order], np.round(unit[0] @ unit[1][order].T, 12)
-                scores[own[:, None] == ids[None, :]] = -np.inf
-                best = np.argsort(-scores, 1, kind="stable")[:, :k]
-                row = np.repeat(np.arange(len(own)), best.shape[1])
-                found = scores[row, best.ravel()]
-                keep = found > -np.inf
-                yield pa.RecordBatch.from_arrays([pa.array(own[row][keep]), pa.array(ids[best.ravel()][keep]), pa.array(found[keep]), pa.array(np.full(int(keep.sum()), x["leaf"], np.int32))], ["query_id", "id", "score", "leaf"])
-
-    lists = asked.join(points, ["dim", "leaf"]).mapInArrow(product, "query_id bigint, id bigint, score double, leaf int")
+    lists = asked.join(points, ["dim", "leaf"]).mapInArrow(lambda parts: products(parts, k), "query_id bigint, id bigint, score double, leaf int")
     top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "id"))), 1, k)
     lists = lists.groupBy("query_id", F.floor(F.col("leaf") / FAN).alias("leaf")).agg(top.alias("x")).select("query_id", F.explode("x").alias("x")).select("query_id", "x.id", (-F.col("x.down")).alias("score"))
     last = lists.groupBy("query_id").agg(top.alias("x")).select("query_id", F.posexplode("x").alias("at", "x"))
