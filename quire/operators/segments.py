@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import latex, pages
 from ..functions.text import col, document_body, parse_polish, strip, strip_model_junk, truthy, wrap_document
 
+ROWS, SIGNS = 4096, 1 << 20  # segments and their signs in a batch, beyond those of its last draft
+
+
 def glue(parts: Column | str) -> Column:
     """An array of fragments as one text: fragments of one option joined, others parted by blank lines."""
 
@@ -46,15 +50,35 @@ def segment(drafts: DataFrame, keys: list[str], page: str = "page_index", text:
     """(keys, page, pos, kind, text, source_block_id, version_id): segments of page drafts."""
     shape = drafts.select(*keys, page).schema.simpleString()[7:-1] + ",pos int,kind string,text string,version_id string"
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in parts:
-            rows = [(*key, i, *s) for *key, draft in df.itertuples(index=False) for i, s in enumerate(pages.page_segments(draft or ""))]
-            yield pd.DataFrame(rows, columns=[*keys, page, "pos", "kind", "text", "version_id"])
-
-    out = drafts.select(*keys, page, text).mapInPandas(run, shape)
+    out = drafts.select(*keys, page, text).mapInArrow(segment_batches, shape)
     return out.withColumn("source_block_id", F.format_string("p%d_stitched", F.col(page).cast("long")))
 
 
+def segment_batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments of drafts, the last column, behind the other columns. A batch of drafts becomes batches of a bounded size."""
+    for b in parts:
+        *named, drafts = b.columns
+        at, pos, said, size = [], [], [], 0
+
+        def out() -> pa.RecordBatch:
+            kinds, texts, versions = zip(*said, strict=True)  # noqa: B023
+            there = pa.array(at, pa.int64())  # noqa: B023
+            made = [pa.array(pos, pa.int32()), *(pa.array(x, pa.string()) for x in (kinds, texts, versions))]  # noqa: B023
+            return pa.RecordBatch.from_arrays([*(c.take(there) for c in named), *made], [*b.schema.names[:-1], "pos", "kind", "text", "version_id"])  # noqa: B023
+
+        for i, draft in enumerate(drafts):
+            found = pages.page_segments(draft.as_py() or "")
+            at += [i] * len(found)
+            pos += range(len(found))
+            said += found
+            size += sum(len(s[1]) for s in found)
+            if len(said) >= ROWS or size >= SIGNS:
+                yield out()
+                at, pos, said, size = [], [], [], 0
+        if said:
+            yield out()
+
+
 def linear_lines(c: Column | str) -> Column:
     @F.pandas_udf("array<string>")
     def run(s: pd.Series) -> pd.Series:
