@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import latex, pages
 from ..functions.text import col, document_body, parse_polish, strip, strip_model_junk, truthy, wrap_document
+from ..session import spread
 
 ROWS, SIGNS = 4096, 1 << 20  # segments and their signs in a batch, beyond those of its last draft
 
@@ -163,13 +164,15 @@ def polish_documents(drafts: DataFrame, keys: list[str], model: Callable[[str],
     """(keys, txt, tex, warnings): drafts through a model whose replies hold a text and a LaTeX document. Each stretch between
     version marks is a call of its own, marks stay in their places, and the bodies of all make one document. A reply
     that can't be read leaves its draft, with a warning; so does a document cut short."""
-    said = stretches(drafts, keys, text).withColumn("piece", strip("piece")).withColumn("reply", latex.text_udf(model)(F.when(~F.col("mark"), F.col("piece"))))
+    said = stretches(spread(drafts, *keys), keys, text).withColumn("piece", strip("piece")).withColumn("reply", latex.text_udf(model)(F.when(~F.col("mark"), F.col("piece"))))
     p = said.withColumn("p", F.when(~F.col("mark"), parse_polish("reply", "piece")))
     p = p.withColumn("txt", F.when(F.col("mark"), F.col("piece")).otherwise(strip_model_junk("p.txt"))).withColumn("tex", latex.sanitize_tex("p.tex"))
     short = F.contains("tex", F.lit("\\documentclass")) & ~F.contains("tex", F.lit("\\end{document}"))
     p = p.withColumn("warnings", F.array_compact(F.array(F.col("p.warning"), F.when(short, "polish truncated; draft kept"))))
     p = p.withColumn("body", F.when(F.col("mark"), F.col("piece")).otherwise(F.coalesce(truthy(document_body("tex")), strip("txt"))))
-    found = p.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "mark", strip("txt").alias("txt"), "tex", "body", "warnings"))).alias("x"))
+    # The whole documents are read once more, so these are dealt to all tasks too, not by their bytes.
+    p = spread(p.select(*keys, "pos", "mark", strip("txt").alias("txt"), "tex", "body", "warnings"), *keys)
+    found = p.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "mark", "txt", "tex", "body", "warnings"))).alias("x"))
     join = lambda c: F.array_join(F.transform("x", lambda y: y[c]), "\n\n")
     alone = ~F.exists("x", lambda y: y["mark"])
     whole = F.when(alone, F.get("x", F.lit(0))["tex"]).otherwise(latex.sanitize_tex(wrap_document(join("body"))))
